@@ -43,8 +43,9 @@ def _pick(names: list[str], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), position)
 
 
-def day_name(c: Column) -> Column:
-    return _pick(DAY_NAMES, F.dayofweek(c))
+def day_name(dow: Column) -> Column:
+    """Name of a day of week that counts from Sunday = 0."""
+    return _pick(DAY_NAMES, dow + 1)
 
 
 def month_name(c: Column) -> Column:
