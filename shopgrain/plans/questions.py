@@ -19,14 +19,14 @@ from pyspark.sql.window import Window as W
 from shopgrain.functions import (
     cents, day_name, dow_sunday0, mean, month_start, ntz, pct, ratio, round2, whole_days,
 )
-from shopgrain.operators.joins import label_null
+from shopgrain.operators.joins import label_null, not_exists, not_in
 from shopgrain.operators.positions import exact_median, global_ntile
 from shopgrain.session import materialise
 
 UNKNOWN_CITY = "Unknown"
-DONE = F.col("order_status") == "completed"
-BOUGHT = F.col("order_status").isin("completed", "returned")
-UNDONE = F.col("order_status").isin("cancelled", "returned")
+DONE = "order_status = 'completed'"
+BOUGHT = "order_status IN ('completed', 'returned')"
+UNDONE = "order_status IN ('cancelled', 'returned')"
 
 
 def _rows(alias: str) -> Column:
@@ -152,7 +152,7 @@ def second_order_gap(orders: DataFrame) -> DataFrame:
         F.sum("users").alias("returning_users"),
         round2(ratio(F.sum(F.col("days") * F.col("users")), F.sum("users")))
         .alias("avg_days_to_second_order"),
-        round2(F.percentile("days", 0.5, "users")).alias("median_days_to_second_order"),
+        round2(F.percentile("days", 0.5, F.col("users"))).alias("median_days_to_second_order"),
     ).withColumn("returning_users", F.coalesce("returning_users", F.lit(0)))
 
 
@@ -211,6 +211,15 @@ def inactive_users_distinct(users: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def active_users_left_form(users: DataFrame, orders: DataFrame) -> DataFrame:
+    """Users with orders, as a left join whose unmatched rows are dropped again.
+
+    The optimizer sees that no unmatched row survives and plans the inner join.
+    """
+    joined = _orders_by_user(users, orders).where(F.col("n").isNotNull())
+    return joined.select("user_id", F.col("n").alias("order_count"))
+
+
 def orders_per_user(users: DataFrame, orders: DataFrame) -> DataFrame:
     return _orders_by_user(users, orders).agg(
         round2(ratio(F.sum(F.coalesce("n", F.lit(0))), F.count(F.lit(1))))
@@ -301,7 +310,7 @@ def return_rate_products(
     lines = order_items.groupBy("order_id", "product_id").agg(_rows("lines"))
     bad_rows = F.lit(1) if per_order else F.col("lines")
     total = F.count(F.lit(1))
-    bad = F.sum(F.when(UNDONE, bad_rows).otherwise(0))
+    bad = F.sum(F.when(F.expr(UNDONE), bad_rows).otherwise(0))
     rates = (
         lines.join(orders.select("order_id", "order_status"), "order_id")
         .groupBy("product_id")
@@ -522,6 +531,16 @@ def order_value_profile(orders: DataFrame) -> DataFrame:
     )
 
 
+def unused_coupons_not_in(coupons: DataFrame, orders: DataFrame) -> DataFrame:
+    """Coupons NOT IN the coupons of orders: empty as soon as one order has no coupon."""
+    return not_in(coupons, orders, "coupon_id").select("coupon_id", "code")
+
+
+def unused_coupons_not_exists(coupons: DataFrame, orders: DataFrame) -> DataFrame:
+    """Coupons for which no order exists."""
+    return not_exists(coupons, orders, "coupon_id").select("coupon_id", "code")
+
+
 def orders_by_weekday(orders: DataFrame) -> DataFrame:
     return (
         orders.where(DONE)

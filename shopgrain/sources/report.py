@@ -15,7 +15,7 @@ from shopgrain.sources.tables import Shop
 def report_rows(question: Question, shop: Shop, rows: int = 10) -> DataFrame:
     """(name, title, position, row) for the first `rows` rows, so the window holds `rows` rows."""
     top = question.report(shop, rows)
-    order = question.order or [F.lit(0)]
+    order = question.order_by() or [F.lit(0)]
     return top.select(
         F.lit(question.name).alias("name"), F.lit(question.title).alias("title"),
         F.row_number().over(W.orderBy(*order)).alias("position"),
