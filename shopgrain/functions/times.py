@@ -64,11 +64,12 @@ def elapsed_seconds(start: Column, end: Column) -> Column:
 
 def minute_crossings(start: Column, end: Column) -> Column:
     """How many minute boundaries lie between start and end: 10:00:59 to 10:01:01 is 1."""
-    def seconds_in(c: Column) -> Column:
-        return F.extract(F.lit("SECOND"), c).cast("double")
+    def micros(seconds: Column) -> Column:
+        return F.floor(seconds * 1e6 + 0.5)
 
-    aligned = elapsed_seconds(start, end) + seconds_in(start) - seconds_in(end)
-    return F.round(aligned / 60.0).cast("bigint")
+    into_minute = F.extract(F.lit("SECOND"), start).cast("double")
+    since_minute = micros(elapsed_seconds(start, end)) + micros(into_minute)
+    return F.floor(since_minute / 6e7)
 
 
 def in_month(c: Column, first_day: date) -> Column:

@@ -1,8 +1,8 @@
 """Ten questions asked of one trips file.
 
 Where the SQL and the dataframe wording of a question differ in meaning, the SQL meaning is the
-plain function and the dataframe meaning the `_strict` one. Money and distance are summed as
-DECIMAL, because a sum of doubles changes with the order in which tasks finish.
+plain function and the dataframe meaning the `_strict` one. Money and distance are summed as whole
+ten-thousandths, because a sum of doubles changes with the order in which tasks finish.
 """
 
 from __future__ import annotations
@@ -10,13 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.functions import elapsed_seconds, mean, minute_crossings, round_to
+from shopgrain.functions import elapsed_seconds, minute_crossings, round_to
 
 SHORT, MEDIUM, LONG = "short (<10 min)", "medium (10-30 min)", "long (>30 min)"
 
 
-def _exact(name: str) -> Column:
-    return F.col(name).cast("decimal(18,4)")
+def _units(name: str) -> Column:
+    """Ten-thousandths as BIGINT."""
+    return F.floor(F.col(name) * 10000.0 + 0.5)
+
+
+def _sum(name: str) -> Column:
+    return (F.sum(_units(name)).cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(5,4)"))
 
 
 def _rows() -> Column:
@@ -24,7 +29,7 @@ def _rows() -> Column:
 
 
 def _mean(name: str) -> Column:
-    return round_to(mean(_exact(name)), 4)
+    return round_to(F.sum(_units(name)) / 10000.0 / F.nullif(F.count(name), F.lit(0)), 4)
 
 
 def _boundary_minutes() -> Column:
@@ -54,7 +59,7 @@ def by_passengers_strict(trips: DataFrame) -> DataFrame:
 
 
 def revenue_by_payment(trips: DataFrame) -> DataFrame:
-    return trips.groupBy("payment_type").agg(F.sum(_exact("total_amount")).alias("revenue"))
+    return trips.groupBy("payment_type").agg(_sum("total_amount").alias("revenue"))
 
 
 def _tip_rates(trips: DataFrame, min_trips: int, k: int) -> DataFrame:
@@ -120,14 +125,14 @@ def fastest_pairs_strict(trips: DataFrame, min_trips: int = 100, k: int = 5) ->
 
 def airport_fees(trips: DataFrame) -> DataFrame:
     return trips.where(F.col("airport_fee") > 0).agg(
-        _rows(), F.sum(_exact("airport_fee")).alias("fees")
+        _rows(), _sum("airport_fee").alias("fees")
     )
 
 
 def duration_bands(trips: DataFrame) -> DataFrame:
     """Trips per band of boundary minutes; a trip without an end falls in the last band."""
     m = _boundary_minutes()
-    band = F.when(m < 10, SHORT).when(m.between(10, 30), MEDIUM).otherwise(LONG)
+    band = F.when(m < 10, SHORT).when(m <= 30, MEDIUM).otherwise(LONG)
     return trips.groupBy(band.alias("trip_type")).agg(
         _rows(), _mean("total_amount").alias("avg_total")
     )
