@@ -17,6 +17,7 @@ from shopgrain.plans.catalogue import catalogue
 from shopgrain.session import scratch_dir, tune
 from shopgrain.sources import roles, tables
 from shopgrain.sources.report import write_report
+from shopgrain.sources.schemas import STAR_DDL
 from shopgrain.sources.tables import Shop
 from shopgrain.sources.versions import VersionedTables
 
@@ -26,6 +27,8 @@ MOVED_AT = "1998-06-01 00:00:00"
 MOVED_FROM = ["City 0", "City 1", "City 2", "City 3", "City 4"]
 STAR_TABLES = star.STAR_TABLES
 
+ShopReader = Callable[[SparkSession, str], Shop]
+
 _loaded: set[str] = set()
 
 
@@ -53,23 +56,27 @@ def late_moves(shop: Shop) -> DataFrame:
     )
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> VersionedTables:
+def star_tables(
+    spark: SparkSession, sf_dir: str, shop_of: ShopReader = roles.role_shop
+) -> VersionedTables:
     """The star of a data set, loaded once per application into the shared scratch folder."""
     root = f"{_root(spark, sf_dir)}/star"
-    stored = VersionedTables(spark, root)
+    stored = VersionedTables(spark, root, STAR_DDL)
     if root not in _loaded:
-        shop = roles.role_shop(spark, sf_dir)
+        shop = shop_of(spark, sf_dir)
         star.load_star(shop, stored, moves(shop))
         _loaded.add(root)
     return stored
 
 
-def layout_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def layout_table(
+    spark: SparkSession, sf_dir: str, name: str, shop_of: ShopReader = roles.role_shop
+) -> DataFrame:
     """A laid-out copy of a shop table, written once per application."""
     root = f"{_root(spark, sf_dir)}/layout"
-    stored = VersionedTables(spark, root)
+    stored = VersionedTables(spark, root, layout.LAYOUT_DDL)
     if f"{root}/{name}" not in _loaded:
-        layout.write_layout(roles.role_shop(spark, sf_dir), stored, name)
+        layout.write_layout(shop_of(spark, sf_dir), stored, name)
         _loaded.add(f"{root}/{name}")
     return stored.read(name)
 
@@ -268,25 +275,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["mom_growth"](spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries(
+    shop_of: ShopReader = roles.role_shop,
+    trips_of: Callable[[SparkSession, str], DataFrame] = roles.trips,
+) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All queries by name; by default on the role views of the given tables."""
     def on_shop(build):
-        return lambda spark, sf_dir: build(roles.role_shop(spark, sf_dir))
+        return lambda spark, sf_dir: build(shop_of(spark, sf_dir))
 
     def on_star(build):
         names = build.__code__.co_varnames[:build.__code__.co_argcount]
         wanted = [n for n in names if n in STAR_TABLES]
 
         def run(spark, sf_dir):
-            stored = star_tables(spark, sf_dir)
+            stored = star_tables(spark, sf_dir, shop_of)
             return build(*[stored.read(n) for n in wanted])
 
         return run
 
     def on_trips(build):
-        return lambda spark, sf_dir: build(roles.trips(spark, sf_dir))
+        return lambda spark, sf_dir: build(trips_of(spark, sf_dir))
 
     def on_layout(name, build):
-        return lambda spark, sf_dir: build(layout_table(spark, sf_dir, name))
+        return lambda spark, sf_dir: build(layout_table(spark, sf_dir, name, shop_of))
 
     found = {name: on_shop(build) for name, build in _shop_queries().items()}
     found |= {name: on_star(build) for name, build in _star_queries().items()}

@@ -8,6 +8,8 @@ one bounded histogram per round, and a task sorts rows only once at most `max_ro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -17,28 +19,30 @@ MAX_ROWS = 1_000_000  # rows one task may sort
 
 
 def rows_at(
-    df: DataFrame, order: list[str], positions: list[int], max_rows: int = MAX_ROWS,
-    fanout: int = FANOUT,
+    df: DataFrame, order: list[str], positions: Callable[[int], list[int]],
+    max_rows: int = MAX_ROWS, fanout: int = FANOUT,
 ) -> dict[int, tuple]:
-    """The order values at each 1-based position, sorting ascending by the BIGINT columns `order`.
+    """The order values at 1-based positions, sorting ascending by the BIGINT columns `order`.
 
-    Rows that tie on all of `order` are interchangeable, so the answer is always exact.
+    `positions` is given the row count and names the positions wanted. Rows that tie on all of
+    `order` are interchangeable, so the answer is always exact.
     """
-    if not positions:
-        return {}
     df = df.select(*order)
     head = F.col(order[0])
     size, low, high = df.agg(F.count(F.lit(1)), F.min(head), F.max(head)).first()
-    if max(positions) > size or min(positions) < 1:
-        raise ValueError(f"positions {positions} outside 1..{size}")
+    wanted = positions(size)
+    if not wanted:
+        return {}
+    if max(wanted) > size or min(wanted) < 1:
+        raise ValueError(f"positions {wanted} outside 1..{size}")
     if size <= max_rows:
         numbered = df.withColumn("position", F.row_number().over(W.orderBy(*order)))
-        found = numbered.where(F.col("position").isin(positions)).collect()
+        found = numbered.where(F.col("position").isin(wanted)).collect()
         return {row["position"]: tuple(row[c] for c in order) for row in found}
     if low == high:
         if len(order) == 1:
-            return {p: (low,) for p in positions}
-        tails = rows_at(df, order[1:], positions, max_rows, fanout)
+            return {p: (low,) for p in wanted}
+        tails = rows_at(df, order[1:], lambda _: wanted, max_rows, fanout)
         return {p: (low, *tail) for p, tail in tails.items()}
 
     width = (high - low) // fanout + 1
@@ -47,25 +51,24 @@ def rows_at(
     result: dict[int, tuple] = {}
     before = 0
     for number, count in counts:
-        local = [p - before for p in positions if before < p <= before + count]
+        local = [p - before for p in wanted if before < p <= before + count]
         if local:
             first = low + number * width
             part = df.where(head.between(first, min(first + width - 1, high)))
-            for p, row in rows_at(part, order, local, max_rows, fanout).items():
-                result[p + before] = row
+            found = rows_at(part, order, lambda _, local=local: local, max_rows, fanout)
+            result |= {p + before: row for p, row in found.items()}
         before += count
     return result
 
 
 def exact_median(df: DataFrame, column: str, max_rows: int = MAX_ROWS) -> float | None:
     """Median of a BIGINT column, NULLs left out, interpolated between the two middle rows."""
-    df = df.select(column).where(F.col(column).isNotNull())
-    size = df.count()
-    if size == 0:
-        return None
-    middle = sorted({(size + 1) // 2, size // 2 + 1})
-    values = [row[0] for row in rows_at(df, [column], middle, max_rows).values()]
-    return sum(values) / len(values)
+    def middle(size: int) -> list[int]:
+        return sorted({(size + 1) // 2, size // 2 + 1}) if size else []
+
+    present = df.where(F.col(column).isNotNull())
+    values = [row[0] for row in rows_at(present, [column], middle, max_rows).values()]
+    return sum(values) / len(values) if values else None
 
 
 def _is_after(order: list[str], cut: tuple) -> Column:
@@ -78,17 +81,20 @@ def _is_after(order: list[str], cut: tuple) -> Column:
 
 
 def global_ntile(
-    df: DataFrame, order: list[str], tiles: int, size: int, max_rows: int = MAX_ROWS
+    df: DataFrame, order: list[str], tiles: int, max_rows: int = MAX_ROWS
 ) -> Column:
     """A column equal to `ntile(tiles) over (order by ...)` for a total order on BIGINT columns.
 
-    df is read once per round of counting, so it should be a written table; `size` is its row
-    count. The returned column is a comparison with `tiles - 1` constants and needs no shuffle.
+    df is read once per round of counting, so it should be a written table. The returned column
+    compares a row with `tiles - 1` constants and needs no shuffle.
     """
-    share, extra = divmod(size, tiles)
-    ends = sorted({p for j in range(1, tiles) if 0 < (p := j * share + min(j, extra)) < size})
-    cuts = rows_at(df, order, ends, max_rows)
+    def tile_ends(size: int) -> list[int]:
+        share, extra = divmod(size, tiles)
+        ends = {j * share + min(j, extra) for j in range(1, tiles)}
+        return sorted(p for p in ends if 0 < p < size)
+
+    cuts = rows_at(df, order, tile_ends, max_rows)
     tile = F.lit(1)
-    for end in ends:
-        tile = tile + F.when(_is_after(order, cuts[end]), 1).otherwise(0)
+    for cut in cuts.values():
+        tile = tile + F.when(_is_after(order, cut), 1).otherwise(0)
     return tile

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.functions import in_month
+from shopgrain.sources.schemas import SHOP_DDL
 from shopgrain.sources.tables import Shop
 from shopgrain.sources.versions import VersionedTables
 
@@ -71,6 +72,15 @@ LAYOUTS = {
     "users_by_email": ("users", users_by_email, None),
 }
 
+# Layout name -> DDL of the stored table.
+LAYOUT_DDL = {
+    "orders_by_month": SHOP_DDL["orders"] + ", order_month INT",
+    "items_by_product": SHOP_DDL["order_items"],
+    "orders_by_status": SHOP_DDL["orders"],
+    "shipments_by_carrier": "carrier STRING, tracking_number STRING, shipment_status STRING",
+    "users_by_email": SHOP_DDL["users"] + ", email_lc STRING",
+}
+
 
 def write_layout(shop: Shop, tables: VersionedTables, name: str) -> DataFrame:
     source, layout, folder = LAYOUTS[name]

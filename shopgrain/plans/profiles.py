@@ -39,11 +39,11 @@ def profile_pareto(order_items: DataFrame, share: float = 0.2) -> DataFrame:
         .withColumn("_fewer", -F.col("units")),
         "pareto",
     )
-    size = units.count()
-    border = int(size * share)
+    borders = rows_at(
+        units, ["_fewer", "product_id"], lambda n: [int(n * share)] if n * share >= 1 else []
+    )
     in_top = F.lit(False)
-    if border:
-        fewer, product = rows_at(units, ["_fewer", "product_id"], [border])[border]
+    for fewer, product in borders.values():
         in_top = (F.col("_fewer") < fewer) | (
             (F.col("_fewer") == fewer) & (F.col("product_id") <= product)
         )

@@ -87,10 +87,9 @@ def rfm_segments(orders: DataFrame, as_of: str) -> DataFrame:
         .withColumn("_cents", cents(F.col("monetary"))),
         "rfm",
     )
-    size = totals.count()
 
     def score(column: str) -> Column:
-        return global_ntile(totals, [column, "user_id"], 5, size)
+        return global_ntile(totals, [column, "user_id"], 5)
 
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     segment = (
@@ -306,13 +305,17 @@ def return_rate_products(
     The plain form counts cancelled or returned lines, so an order with two such lines of one
     product counts twice; `per_order` counts orders on both sides.
     """
-    # Lines of one product in one order collapse first; after that a row is one distinct order.
-    lines = order_items.groupBy("order_id", "product_id").agg(_rows("lines"))
+    # Lines of one product in one order collapse to a row, which is then one distinct order. The
+    # grouping holds the join key, so it runs on the join's partitioning without a shuffle.
+    status = orders.select("order_id", "order_status")
+    lines = order_items.select("order_id", "product_id").join(status, "order_id").groupBy(
+        "order_id", "product_id", "order_status"
+    ).agg(_rows("lines"))
     bad_rows = F.lit(1) if per_order else F.col("lines")
     total = F.count(F.lit(1))
     bad = F.sum(F.when(F.expr(UNDONE), bad_rows).otherwise(0))
     rates = (
-        lines.join(orders.select("order_id", "order_status"), "order_id")
+        lines
         .groupBy("product_id")
         .agg(total.alias("total_orders"), bad.alias("returned_or_cancelled"))
         .where(F.col("total_orders") >= min_orders)

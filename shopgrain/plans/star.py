@@ -15,6 +15,7 @@ from shopgrain.operators.merge import (
     insert_if_absent, reject_duplicate_keys, row_diff, update_from, upsert,
 )
 from shopgrain.plans.questions import UNKNOWN_CITY
+from shopgrain.sources.schemas import STAR_DDL
 from shopgrain.sources.tables import Shop
 from shopgrain.sources.versions import VersionedTables
 
@@ -64,7 +65,7 @@ def dim_product(
     )
     if existing is None:
         return rows
-    return upsert(existing, rows, ["product_key", "product_id"], update_cols)
+    return upsert(existing, rows, ["product_id"], update_cols)
 
 
 def _open_version(key: Column, attributes: list[Column], since: Column) -> list[Column]:
@@ -184,7 +185,7 @@ def fct_orders(
     )
     if existing is None:
         return rows
-    return upsert(existing, rows, ["order_id", "order_key"], update_cols)
+    return upsert(existing, rows, ["order_id"], update_cols)
 
 
 def fct_order_items(
@@ -215,7 +216,7 @@ def fct_order_items(
     )
     if existing is None:
         return rows
-    return upsert(existing, rows, ["order_id", "product_key", "order_item_key"], update_cols)
+    return upsert(existing, rows, ["order_id", "product_key"], update_cols)
 
 
 def pit_features(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -242,41 +243,46 @@ def sync_order_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 
 # --- whole load ------------------------------------------------------------------------------
 
-STAR_TABLES = ["dim_date", "dim_product", "dim_customer", "fct_orders", "fct_order_items"]
-
-
-def _spread(df: DataFrame, column: str) -> DataFrame:
-    """Group rows by the column a table is partitioned by, splitting values too big for a file."""
-    return df.hint("rebalance", column)
+STAR_TABLES = list(STAR_DDL)
+MIN_ROWS_PER_FOLDER = 1_000_000
 
 
 def load_star(
     shop: Shop, tables: VersionedTables, changes: DataFrame | None = None,
     update_cols: dict[str, list[str]] | None = None,
+    min_rows_per_folder: int = MIN_ROWS_PER_FOLDER,
 ) -> None:
     """Bring all five star tables up to date. Running it again changes nothing.
 
-    Each step reads what the step before it wrote, which also cuts the plan at every table.
+    Each step reads what the step before it wrote, which also cuts the plan at every table. Facts
+    get a folder per month once a month holds `min_rows_per_folder` orders on average; smaller
+    facts would only turn into many small files. Either way files are sorted by date, and AQE
+    splits what is too big for one file, so a busy month is not one task.
     """
     frozen = update_cols or {}
 
     def old(name: str) -> DataFrame | None:
         return tables.read(name) if tables.exists(name) else None
 
-    tables.write("dim_date", dim_date(order_years(shop.orders), old("dim_date")).coalesce(1))
-    products = dim_product(
-        shop.products, shop.categories, old("dim_product"), frozen.get("dim_product")
-    )
-    tables.write("dim_product", products)
+    def write_fact(name: str, df: DataFrame) -> DataFrame:
+        spread = df.hint("rebalance", "order_month") if by_month else df.hint("rebalance")
+        return tables.write(name, spread.sortWithinPartitions("order_month", "order_date_id"),
+                            "order_month" if by_month else None)
+
+    calendar = dim_date(order_years(shop.orders), old("dim_date")).coalesce(1)
+    months = tables.write("dim_date", calendar).select("year", "month").distinct().count()
+    by_month = shop.orders.count() >= min_rows_per_folder * months
+
+    products = tables.write("dim_product", dim_product(
+        shop.products, shop.categories, old("dim_product"), frozen.get("dim_product")))
     customers = tables.write("dim_customer", dim_customer(shop.users, old("dim_customer")))
     if changes is not None:
         customers = tables.write("dim_customer", apply_customer_changes(customers, changes))
-    orders = fct_orders(shop.orders, customers, shop.shipments, old("fct_orders"),
-                        frozen.get("fct_orders"))
-    orders = tables.write("fct_orders", _spread(orders, "order_month"), "order_month")
-    items = fct_order_items(shop.order_items, orders, tables.read("dim_product"),
-                            old("fct_order_items"), frozen.get("fct_order_items"))
-    tables.write("fct_order_items", _spread(items, "order_month"), "order_month")
+    orders = write_fact("fct_orders", fct_orders(
+        shop.orders, customers, shop.shipments, old("fct_orders"), frozen.get("fct_orders")))
+    write_fact("fct_order_items", fct_order_items(
+        shop.order_items, orders, products, old("fct_order_items"),
+        frozen.get("fct_order_items")))
 
 
 # --- checks ----------------------------------------------------------------------------------

@@ -32,6 +32,24 @@ SHOP_DDL = {
                            "quantity INT, reference_reason STRING, created_at TIMESTAMP_NTZ",
 }
 
+# Star table -> DDL. `order_month` is the folder column of the facts.
+STAR_DDL = {
+    "dim_date": "date_id INT, full_date DATE, year INT, quarter INT, month INT, "
+                "month_name STRING, day INT, day_name STRING, is_weekend BOOLEAN",
+    "dim_product": "product_key BIGINT, product_id BIGINT, sku STRING, product_name STRING, "
+                   "category_name STRING, unit_cost DECIMAL(10,2), unit_price DECIMAL(10,2)",
+    "dim_customer": "customer_key BIGINT, user_id BIGINT, email STRING, full_name STRING, "
+                    "city STRING, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, "
+                    "is_current BOOLEAN",
+    "fct_orders": "order_key BIGINT, order_id BIGINT, customer_key BIGINT, order_date_id INT, "
+                  "order_status STRING, total_amount DECIMAL(12,2), "
+                  "discount_amount DECIMAL(10,2), delivery_days INT, order_month INT",
+    "fct_order_items": "order_item_key BIGINT, order_id BIGINT, order_date_id INT, "
+                       "customer_key BIGINT, product_key BIGINT, quantity BIGINT, "
+                       "unit_price DECIMAL(10,2), cost_amount DECIMAL(12,2), "
+                       "subtotal DECIMAL(12,2), gross_margin DECIMAL(12,2), order_month INT",
+}
+
 # Primary keys and UNIQUE columns.
 UNIQUE_KEYS = {
     "users": [("user_id",), ("email",)],

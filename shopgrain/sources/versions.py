@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class VersionedTables:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str] | None = None):
+        """`schemas` gives the DDL of known tables, which spares their schema inference."""
         self._spark = spark
         self._root = root.rstrip("/")
+        self._schemas = schemas or {}
 
     def _newest(self, name: str) -> int:
         jvm = self._spark.sparkContext._jvm
@@ -32,7 +34,10 @@ class VersionedTables:
         number = self._newest(name)
         if number == 0:
             raise FileNotFoundError(f"no complete version of {name} under {self._root}")
-        return self._spark.read.parquet(self._path(name, number))
+        reader = self._spark.read
+        if name in self._schemas:
+            reader = reader.schema(self._schemas[name])
+        return reader.parquet(self._path(name, number))
 
     def write(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Store df as the next version. A failed attempt left no marker, so it is replaced."""
