@@ -195,17 +195,20 @@ def fct_order_items(
     """One row per order and product; repeated lines of a product are merged.
 
     Date and customer version come from the order fact, so lines are not matched against the
-    customer history a second time.
+    customer history a second time. They are merged after that join: the grouping holds its key
+    and needs no shuffle of its own.
     """
-    merged = order_items.groupBy("order_id", "product_id").agg(
+    placed = fct_orders.select("order_id", "order_date_id", "customer_key", "order_month")
+    merged = order_items.join(placed, "order_id").groupBy(
+        "order_id", "product_id", "order_date_id", "customer_key", "order_month"
+    ).agg(
         F.sum("quantity").alias("quantity"), F.max("unit_price").alias("unit_price"),
         F.sum("subtotal").cast("decimal(12,2)").alias("subtotal"),
     )
-    placed = fct_orders.select("order_id", "order_date_id", "customer_key", "order_month")
     costs = dim_product.select("product_key", "product_id", "unit_cost")
     cost = F.round(F.col("quantity") * F.col("unit_cost"), 2).cast("decimal(12,2)")
     rows = (
-        merged.join(placed, "order_id").join(costs, "product_id")
+        merged.join(costs, "product_id")
         .select(
             F.xxhash64("order_id", "product_key").alias("order_item_key"),
             "order_id", "order_date_id", "customer_key", "product_key", "quantity", "unit_price",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import _shop_queries, _trip_queries, queries
 from conftest import plan, rows
 from shopgrain.plans import audits, questions as q
+from shopgrain.session import materialise
 from shopgrain.sources.roles import role_shop, trips
 
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -70,6 +71,32 @@ def test_hot_user_and_hot_order_against_plain_sql(spark, shop, skewed):
     assert tuple(again)[:2] == tuple(plain)
 
 
+def test_hot_order_is_split_at_run_time(spark, shop, skewed):
+    """With size limits scaled down to the test data, AQE cuts the partition of the hot order,
+    also where the rows are then grouped by that order."""
+    orders, lines = skewed
+    lines = lines.withColumn("product_id", F.xxhash64("item_id"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    lines, orders = (materialise(df.repartition(8), "skew") for df in (lines, orders))
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        for df in (q.product_sales(lines, orders),
+                   q.return_rate_products(shop.products, lines, orders, 1, 10)):
+            df.collect()
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_orphans_are_counted_once_per_row(spark, shop):
     class Broken:
         def table(self, name):
