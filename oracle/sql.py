@@ -756,7 +756,9 @@ def _report(found: dict[str, str]) -> str:
         parts.append(f"""SELECT {c.number} AS question_id, '{c.name}' AS name,
             LEAST({keep}, (SELECT COUNT(*) FROM ({found[c.name]}))) AS printed_rows""")
     union = " UNION ALL ".join(parts)
-    return q("categories", "question_id:i name:s printed_rows:i", union)
+    # A question without rows leaves no line in the report.
+    return q("categories", "question_id:i name:s printed_rows:i",
+             f"SELECT * FROM ({union}) WHERE printed_rows > 0")
 
 
 def all_sql() -> dict[str, str]:
