@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 from collections.abc import Callable
 from datetime import date
 
@@ -284,8 +285,7 @@ def queries(
         return lambda spark, sf_dir: build(shop_of(spark, sf_dir))
 
     def on_star(build):
-        names = build.__code__.co_varnames[:build.__code__.co_argcount]
-        wanted = [n for n in names if n in STAR_TABLES]
+        wanted = [n for n in inspect.signature(build).parameters if n in STAR_TABLES]
 
         def run(spark, sf_dir):
             stored = star_tables(spark, sf_dir, shop_of)

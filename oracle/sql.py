@@ -46,16 +46,14 @@ def _questions() -> dict[str, str]:
     s["cohort_retention"] = q(
         "orders",
         "cohort_month:s cohort_size:i month_offset:i active_users:i retention_pct:d",
-        f"""WITH uc AS (SELECT user_id, CAST(date_trunc('month', MIN(order_date)) AS DATE) AS cm
-              FROM r_orders WHERE order_status IN ('completed', 'returned') GROUP BY user_id),
-            ua AS (SELECT DISTINCT o.user_id, cm,
-                (year(order_date) - year(cm)) * 12 + month(order_date) - month(cm) AS p
-              FROM r_orders o JOIN uc ON o.user_id = uc.user_id
-              WHERE order_status IN ('completed', 'returned')),
-            cs AS (SELECT cm, COUNT(*) AS n FROM uc GROUP BY cm)
-            SELECT ua.cm AS cohort_month, n AS cohort_size, p AS month_offset,
-              COUNT(*) AS active_users, {pct('COUNT(*)', 'n')} AS retention_pct
-            FROM ua JOIN cs ON ua.cm = cs.cm GROUP BY ua.cm, n, p""")
+        f"""WITH bought AS (SELECT user_id, order_date, MIN(order_date) OVER (PARTITION BY user_id)
+                AS first_date FROM r_orders WHERE order_status IN ('completed', 'returned')),
+            active AS (SELECT CAST(date_trunc('month', first_date) AS DATE) AS cohort_month,
+                date_diff('month', first_date, order_date) AS month_offset,
+                COUNT(DISTINCT user_id) AS active_users FROM bought GROUP BY ALL)
+            SELECT a.*, z.active_users AS cohort_size,
+              {pct('a.active_users', 'z.active_users')} AS retention_pct
+            FROM active a JOIN active z USING (cohort_month) WHERE z.month_offset = 0""")
     s["rfm_segments"] = q(
         "orders",
         "user_id:i recency:i frequency:i monetary:d r_score:i f_score:i m_score:i "
@@ -92,26 +90,27 @@ def _questions() -> dict[str, str]:
                 {qty} AS moving_avg_qty_7d, {rev} AS moving_avg_rev_7d FROM d""")
     s["purchase_streaks"] = q(
         "orders", "user_id:i streak_start:s streak_end:s streak_length_days:i",
-        """WITH d AS (SELECT DISTINCT user_id, CAST(order_date AS DATE) AS day FROM r_orders
-              WHERE order_status = 'completed'),
-            g AS (SELECT user_id, day, day - CAST(ROW_NUMBER() OVER (PARTITION BY user_id
-                ORDER BY day) AS INT) AS island FROM d)
+        """WITH days AS (SELECT user_id, CAST(order_date AS DATE) AS day FROM r_orders
+              WHERE order_status = 'completed' GROUP BY ALL),
+            starts AS (SELECT *, day IS DISTINCT FROM LAG(day) OVER u + 1 AS begins FROM days
+              WINDOW u AS (PARTITION BY user_id ORDER BY day)),
+            runs AS (SELECT *, COUNT(*) FILTER (WHERE begins) OVER (PARTITION BY user_id
+              ORDER BY day) AS run FROM starts)
             SELECT user_id, MIN(day) AS streak_start, MAX(day) AS streak_end,
-              COUNT(*) AS streak_length_days
-            FROM g GROUP BY user_id, island HAVING COUNT(*) >= 2""")
+              MAX(day) - MIN(day) + 1 AS streak_length_days
+            FROM runs GROUP BY user_id, run HAVING MAX(day) > MIN(day)""")
     s["top3_per_category"] = q(
         "categories products order_items orders",
         "category_name:s rank_in_category:i product_name:s total_revenue:d total_units_sold:i",
-        """SELECT * FROM (SELECT c.name AS category_name, p.name AS product_name,
-              SUM(subtotal) AS total_revenue, SUM(quantity) AS total_units_sold,
-              DENSE_RANK() OVER (PARTITION BY c.category_id ORDER BY SUM(subtotal) DESC)
-                AS rank_in_category
-            FROM r_categories c JOIN r_products p ON c.category_id = p.category_id
-            JOIN r_order_items oi ON p.product_id = oi.product_id
-            JOIN r_orders o ON oi.order_id = o.order_id
-            WHERE order_status = 'completed'
-            GROUP BY c.category_id, c.name, p.product_id, p.name)
-            WHERE rank_in_category <= 3""")
+        """WITH sold AS (SELECT product_id, SUM(subtotal) AS total_revenue,
+              SUM(quantity) AS total_units_sold FROM r_order_items WHERE order_id IN
+              (SELECT order_id FROM r_orders WHERE order_status = 'completed') GROUP BY 1)
+            SELECT c.name AS category_name, p.name AS product_name, total_revenue,
+              total_units_sold, 1 + (SELECT COUNT(DISTINCT o.total_revenue) FROM sold o
+                JOIN r_products op USING (product_id) WHERE op.category_id = p.category_id
+                AND o.total_revenue > sold.total_revenue) AS rank_in_category
+            FROM sold JOIN r_products p USING (product_id)
+            JOIN r_categories c USING (category_id) WHERE rank_in_category <= 3""")
     monthly = """WITH m AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS sales_month,
                 SUM(total_amount) AS monthly_revenue, COUNT(order_id) AS total_orders
               FROM r_orders WHERE order_status = 'completed' GROUP BY 1)"""
@@ -125,56 +124,55 @@ def _questions() -> dict[str, str]:
         "orders", "sales_month:s monthly_revenue:d running_revenue:d",
         f"""{monthly} SELECT sales_month, monthly_revenue, SUM(monthly_revenue)
             OVER (ORDER BY sales_month) AS running_revenue FROM m""")
-    paid = "COUNT(DISTINCT CASE WHEN payment_status = 'successful' THEN o.order_id END)"
-    sent = "COUNT(DISTINCT CASE WHEN shipment_status = 'delivered' THEN o.order_id END)"
     s["order_funnel"] = q(
         "orders payments shipments",
         "total_initiated_orders:i paid_orders:i delivered_orders:i payment_conversion_pct:d "
         "fulfillment_delivery_pct:d",
-        f"""SELECT COUNT(DISTINCT o.order_id) AS total_initiated_orders, {paid} AS paid_orders,
-              {sent} AS delivered_orders,
-              {pct(paid, 'COUNT(DISTINCT o.order_id)')} AS payment_conversion_pct,
-              {pct(sent, paid)} AS fulfillment_delivery_pct
-            FROM r_orders o LEFT JOIN r_payments p ON o.order_id = p.order_id
-            LEFT JOIN r_shipments s ON o.order_id = s.order_id""")
+        f"""WITH n AS (SELECT COUNT(*) AS total_initiated_orders,
+              COUNT(*) FILTER (WHERE order_id IN (SELECT order_id FROM r_payments
+                WHERE payment_status = 'successful')) AS paid_orders,
+              COUNT(*) FILTER (WHERE order_id IN (SELECT order_id FROM r_shipments
+                WHERE shipment_status = 'delivered')) AS delivered_orders FROM r_orders)
+            SELECT *, {pct('paid_orders', 'total_initiated_orders')} AS payment_conversion_pct,
+              {pct('delivered_orders', 'paid_orders')} AS fulfillment_delivery_pct FROM n""")
     s["coupon_margin"] = q(
         "orders order_items products",
         "sales_channel:s order_count:i gross_revenue:d total_cost:d gross_profit:d "
         "profit_margin_pct:d",
-        f"""SELECT CASE WHEN coupon_id IS NOT NULL THEN 'With coupon' ELSE 'Without coupon' END
-              AS sales_channel, COUNT(DISTINCT o.order_id) AS order_count,
-              SUM(subtotal) AS gross_revenue, SUM(quantity * cost) AS total_cost,
-              SUM(subtotal) - SUM(quantity * cost) AS gross_profit,
-              {pct('(SUM(subtotal) - SUM(quantity * cost))', 'SUM(subtotal)')}
-              AS profit_margin_pct
-            FROM r_orders o JOIN r_order_items oi ON o.order_id = oi.order_id
-            JOIN r_products p ON oi.product_id = p.product_id
-            WHERE order_status = 'completed' GROUP BY 1""")
+        f"""WITH lines AS (SELECT order_id, subtotal, quantity * (SELECT cost FROM r_products p
+                WHERE p.product_id = i.product_id) AS cost FROM r_order_items i),
+            sums AS (SELECT coupon_id IS NULL AS plain, COUNT(DISTINCT order_id) AS order_count,
+                SUM(subtotal) AS gross_revenue, SUM(cost) AS total_cost
+              FROM r_orders JOIN lines USING (order_id) WHERE order_status = 'completed'
+              GROUP BY 1)
+            SELECT *, if(plain, 'Without coupon', 'With coupon') AS sales_channel,
+              gross_revenue - total_cost AS gross_profit,
+              {pct('(gross_revenue - total_cost)', 'gross_revenue')} AS profit_margin_pct
+            FROM sums""")
     s["second_order_gap"] = q(
         "orders",
         "returning_users:i avg_days_to_second_order:d median_days_to_second_order:d",
-        f"""WITH o AS (SELECT user_id, order_date, ROW_NUMBER() OVER (PARTITION BY user_id
-                ORDER BY order_date) AS seq FROM r_orders WHERE order_status = 'completed'),
-            g AS (SELECT {days('a.order_date', 'b.order_date')} AS gap FROM o a JOIN o b
-              ON a.user_id = b.user_id AND b.seq = 2 WHERE a.seq = 1)
+        f"""WITH dates AS (SELECT list(order_date ORDER BY order_date) AS d FROM r_orders
+              WHERE order_status = 'completed' GROUP BY user_id HAVING COUNT(*) >= 2),
+            g AS (SELECT {days('d[1]', 'd[2]')} AS gap FROM dates)
             SELECT COUNT(*) AS returning_users, {avg('gap')} AS avg_days_to_second_order,
-              {rnd('quantile_cont(CAST(gap AS DOUBLE), 0.5)')} AS median_days_to_second_order
-            FROM g""")
-    again = "COUNT(DISTINCT CASE WHEN n > 1 THEN product_id END)"
+              {rnd('median(CAST(gap AS DOUBLE))')} AS median_days_to_second_order FROM g""")
     s["repeat_purchase_rate"] = q(
         "orders order_items",
         "total_distinct_products_sold:i products_repurchased:i repeat_purchase_rate_pct:d",
-        f"""SELECT COUNT(DISTINCT product_id) AS total_distinct_products_sold,
-              {again} AS products_repurchased,
-              {pct(again, 'COUNT(DISTINCT product_id)')} AS repeat_purchase_rate_pct
-            FROM (SELECT user_id, product_id, COUNT(DISTINCT o.order_id) AS n FROM r_orders o
-              JOIN r_order_items oi ON o.order_id = oi.order_id
-              WHERE order_status = 'completed' GROUP BY 1, 2)""")
-    ok = "SUM(CASE WHEN payment_status = 'successful' THEN 1 ELSE 0 END)"
+        f"""WITH bought AS (SELECT product_id, user_id, order_id FROM r_order_items
+              JOIN r_orders USING (order_id) WHERE order_status = 'completed' GROUP BY ALL),
+            n AS (SELECT COUNT(DISTINCT product_id) AS sold, COUNT(DISTINCT product_id) FILTER (
+                WHERE (product_id, user_id) IN (SELECT (product_id, user_id) FROM bought
+                GROUP BY ALL HAVING COUNT(*) > 1)) AS again FROM bought)
+            SELECT sold AS total_distinct_products_sold, again AS products_repurchased,
+              {pct('again', 'sold')} AS repeat_purchase_rate_pct FROM n""")
     s["payment_success"] = q(
         "payments", "payment_method:s total_tx:i success_tx:i success_rate_pct:d",
-        f"""SELECT payment_method, COUNT(*) AS total_tx, {ok} AS success_tx,
-            {pct(ok, 'COUNT(*)')} AS success_rate_pct FROM r_payments GROUP BY 1""")
+        f"""WITH n AS (SELECT payment_method, COUNT(*) AS total_tx,
+              COUNT(*) FILTER (WHERE payment_status = 'successful') AS success_tx
+              FROM r_payments GROUP BY 1)
+            SELECT *, {pct('success_tx', 'total_tx')} AS success_rate_pct FROM n""")
     s["carrier_delivery_days"] = q(
         "shipments", "carrier:s avg_delivery_days:d total_shipments:i",
         f"""SELECT carrier, {avg(days('shipped_at', 'delivered_at'))} AS avg_delivery_days,

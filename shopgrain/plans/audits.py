@@ -158,7 +158,10 @@ def join_fanout_report(joins: dict[str, tuple[DataFrame, DataFrame, list[str]]])
 
 
 def scd2_audit(dim_customer: DataFrame) -> DataFrame:
-    """Faults in a history: several open versions, overlaps, empty intervals, wrong flags."""
+    """Faults in a history: several open versions, overlaps, empty intervals, wrong flags.
+
+    The window holds one user's versions, whose number the version key limits.
+    """
     later = W.partitionBy("user_id").orderBy("valid_from", "customer_key")
     open_ended = F.col("valid_to").isNull()
     rows = dim_customer.select(

@@ -19,8 +19,8 @@ from shopgrain.sources.schemas import STAR_DDL
 from shopgrain.sources.tables import Shop
 from shopgrain.sources.versions import VersionedTables
 
-# customer_key = user_id * VERSION_SPACE + version number. ANSI arithmetic raises on overflow, so
-# keys never collide; that holds for 2^43 users with 2^20 versions each.
+# customer_key = user_id * VERSION_SPACE + version number. Overflow raises, and so does a version
+# number that leaves its user's range, so keys never collide and a user's history stays bounded.
 VERSION_SPACE = 1 << 20
 TRACKED = ["email", "full_name", "city"]
 FIRST_SEEN = "created_at"
@@ -124,9 +124,11 @@ def apply_customer_changes(dim: DataFrame, incoming: DataFrame) -> DataFrame:
         {"valid_to": F.col("new.effective_at"), "is_current": F.lit(False)}
         .get(c, F.col(f"old.{c}")).alias(c) for c in columns
     ])
-    successor = F.struct(*_open_version(
-        F.col("old.customer_key") + 1, attributes, F.col("new.effective_at")
-    ))
+    next_key = F.col("old.customer_key") + 1
+    next_key = F.when(next_key % VERSION_SPACE == 0, F.raise_error(
+        F.concat(F.lit("too many versions of user "), F.col("user_id").cast("string"))
+    ).cast("bigint")).otherwise(next_key)
+    successor = F.struct(*_open_version(next_key, attributes, F.col("new.effective_at")))
     newcomer = F.struct(*_open_version(_first_key(), attributes, F.col("new.effective_at")))
     rows = (
         F.when(F.col("old").isNull(), F.array(newcomer))

@@ -3,6 +3,7 @@
 from datetime import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from shopgrain.operators.joins import as_of_join
@@ -75,6 +76,12 @@ def test_two_changes_of_one_user_fail(spark, first):
         s.apply_customer_changes(first, changes).collect()
 
 
+def test_version_number_cannot_leave_its_users_range(spark, first):
+    full = first.withColumn("customer_key", F.col("customer_key") + s.VERSION_SPACE - 1)
+    with pytest.raises(Exception, match="too many versions of user 1"):
+        s.apply_customer_changes(full, feed(spark, (1, "a@x", "A", "Paris", T1))).collect()
+
+
 def test_as_of_edges(spark, first):
     dim = s.apply_customer_changes(first, feed(spark, (1, "a@x", "A", "Paris", T2)))
     orders = spark.createDataFrame(
