@@ -6,7 +6,9 @@ full next state. Keys are computed from the row itself, so a rerun gives the sam
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.functions import day_id, day_name, dow_sunday0, is_weekend, month_name, whole_days
@@ -38,6 +40,14 @@ def order_years(orders: DataFrame) -> DataFrame:
     )
 
 
+def date_bounds(spark: SparkSession, first: date, last: date) -> DataFrame:
+    """One row: a fixed calendar range."""
+    return spark.range(1).select(
+        F.lit(str(first)).cast("date").alias("first_day"),
+        F.lit(str(last)).cast("date").alias("last_day"),
+    )
+
+
 def dim_date(bounds: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """A calendar row per day of `bounds` (first_day, last_day), added where absent."""
     day = F.col("full_date")

@@ -51,13 +51,20 @@ def write_parquet_shop(shop: Shop, folder: str) -> None:
         )
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Headerless CSV in the table's column order; an unquoted \\N is NULL, quotes double."""
+def read_csv(
+    spark: SparkSession, path: str, table: str, line_breaks_in_text: bool = False
+) -> DataFrame:
+    """Headerless CSV in the table's column order; an unquoted \\N is NULL, quotes double.
+
+    Quoted line breaks need `line_breaks_in_text`; each file is then read by one task, so such a
+    table should come in many files.
+    """
     return (
         spark.read.schema(SHOP_DDL[table])
         .option("nullValue", "\\N")
         .option("escape", '"')
         .option("mode", "FAILFAST")
+        .option("multiLine", str(line_breaks_in_text).lower())
         .csv(path)
     )
 

@@ -18,6 +18,13 @@ def test_csv_keeps_null_empty_quotes_and_commas(spark, tmp_path):
     assert rows(tables.read_csv(spark, str(tmp_path / "users"), "users")) == rows(df)
 
 
+def test_csv_with_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a@x", "two\nlines", None, "Rome", dt(2024, 1, 1))],
+                               SHOP_DDL["users"])
+    tables.write_csv(df, str(tmp_path / "users"), "users")
+    assert rows(tables.read_csv(spark, str(tmp_path / "users"), "users", True)) == rows(df)
+
+
 def test_csv_in_the_source_format(spark, tmp_path):
     (tmp_path / "c.csv").write_text(
         '1,"a@x","A ""B"" C",\\N,"Rome","2024-01-01T00:00:00"\n'

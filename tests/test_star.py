@@ -33,6 +33,14 @@ def feed(spark, *changes):
     return spark.createDataFrame(list(changes), FEED)
 
 
+def test_fixed_calendar(spark):
+    days = s.dim_date(s.date_bounds(spark, dt(2024, 1, 1).date(), dt(2026, 12, 31).date()))
+    assert days.count() == 1096
+    leap = days.where("date_id = 20240229").first()
+    assert tuple(leap)[2:] == (2024, 1, 2, "February", 29, "Thursday", False)
+    assert days.where("is_weekend").count() == 156 * 2  # 156 weeks, then Monday to Thursday
+
+
 def test_initial_load_adds_unseen_users_only(spark, first):
     more = spark.createDataFrame(
         [(1, "a@x", "A", None, "Paris", T1), (4, "d@x", "D", None, "Bern", T1)], USERS)
