@@ -271,6 +271,25 @@ def _question_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries on texts; none where their subpackage or the pipeline has been removed."""
+    try:
+        from corpus_pipeline import queries as of_pipeline
+        from shopgrain.llm.queries import queries as of_operators
+    except ImportError:
+        return {}
+    return of_operators() | of_pipeline()
+
+
+def _text_sql() -> dict[str, str]:
+    try:
+        from corpus_pipeline import oracle_sql as of_pipeline
+        from shopgrain.llm.oracle import oracle_sql as of_operators
+    except ImportError:
+        return {}
+    return of_operators() | of_pipeline()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: month-over-month revenue growth."""
     return queries()["mom_growth"](spark, "/root/testdata/sf0.001")
@@ -315,8 +334,12 @@ def queries(
     def checked(build):
         return lambda spark, sf_dir: portable(build(tune(spark), sf_dir))
 
-    return {name: checked(build) for name, build in found.items()}
+    def tuned(build):
+        return lambda spark, sf_dir: build(tune(spark), sf_dir)
+
+    checked_queries = {name: checked(build) for name, build in found.items()}
+    return checked_queries | {name: tuned(build) for name, build in _text_queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return all_sql()
+    return all_sql() | _text_sql()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,14 +42,12 @@ def local_session(cores: int | str = 8, name: str = "shopgrain", **conf: str) ->
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables: the one the cluster names in `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a temporary folder, since its executors share the disk.
+    Where that is unset, as in tests, a folder of the warehouse, which executors share as well.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shopgrain-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         sc.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{sc.applicationId}"
 
