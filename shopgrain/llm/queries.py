@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm import bpe, language, quality, secret_scan, toxicity
+from shopgrain.llm import bpe, language, near_dedup, quality, secret_scan, toxicity
 from shopgrain.llm.frames import documents, fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,6 +55,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "rejected")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_in_class")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.apply_rules(documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -77,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secrets": op1_secrets,
         "op4_bpe": op4_bpe,
         "op5_language": op5_language,
+        "op6_near_dedup": op6_near_dedup,
         "op7_quality": op7_quality,
         "op9_toxicity": op9_toxicity,
     }
