@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm import bpe, language, near_dedup, quality, secret_scan, toxicity
+from shopgrain.llm import (
+    bpe, language, mixing, near_dedup, quality, secret_scan, token_files, toxicity,
+)
 from shopgrain.llm.frames import documents, fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -39,6 +41,15 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(spans).alias("spans"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang", "source").select(
+        "doc_id", "lang", "source", mixing.topic(F.col("text")).alias("topic"),
+        mixing.tokens(F.col("text")).alias("n_words"))
+    found = mixing.sample(docs, ["source", "lang", "topic"])
+    return found.select("doc_id", "source", "lang", "topic", "n_words",
+                        F.round("inclusion", 6).alias("inclusion"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     coded = bpe.encode(documents(spark, sf_dir, "doc_id", "text"), path).drop("text")
@@ -66,6 +77,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.count_document_tokens(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
@@ -80,9 +95,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
+        "op3_mixing": op3_mixing,
         "op4_bpe": op4_bpe,
         "op5_language": op5_language,
         "op6_near_dedup": op6_near_dedup,
         "op7_quality": op7_quality,
+        "op8_token_counts": op8_token_counts,
         "op9_toxicity": op9_toxicity,
     }
