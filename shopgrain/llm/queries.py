@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import (
-    bpe, language, mixing, near_dedup, quality, secret_scan, token_files, toxicity,
+    bpe, language, mixing, near_dedup, passages, quality, secret_scan, token_files, toxicity,
 )
 from shopgrain.llm.frames import documents, fold
 
@@ -92,6 +92,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("passages").alias("n_passages"))
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
@@ -102,4 +106,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality": op7_quality,
         "op8_token_counts": op8_token_counts,
         "op9_toxicity": op9_toxicity,
+        "op10_passages": op10_passages,
     }
