@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import (
-    bpe, language, mixing, near_dedup, passages, quality, secret_scan, token_files, toxicity,
+    bpe, language, mixing, near_dedup, passages, quality, secret_scan, token_files, topk, toxicity,
 )
 from shopgrain.llm.frames import documents, fold
 
@@ -41,6 +41,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(spans).alias("spans"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang", "source").select(
         "doc_id", "lang", "source", mixing.topic(F.col("text")).alias("topic"),
@@ -99,6 +104,7 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
+        "op2_top_k": op2_top_k,
         "op3_mixing": op3_mixing,
         "op4_bpe": op4_bpe,
         "op5_language": op5_language,
