@@ -76,3 +76,16 @@ def fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; NULL ids count as the empty text."""
     as_text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     return F.crc32(as_text.cast("binary")) % folds
+
+
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About `rows` rows of df, those whose key hashes low; all, if there are no more.
+
+    The share follows from a count, so the expected size does not grow with df and no task gathers
+    candidates. The same rows are drawn every time; rows of one key are drawn together.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    share = int(rows / n * (1 << 40))
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < F.lit(share))

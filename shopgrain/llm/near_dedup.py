@@ -52,7 +52,7 @@ def signatures(
     step = 0
     while len(live):
         step += 1
-        h = mix(hashes[live] + GOLDEN * np.uint64(step))
+        h = mix(hashes[live] + GOLDEN * np.array([step], np.uint64))
         at[live] -= np.log(uniform(h)) / weights[live]
         place = text[live] * registers + (mix(h) % np.uint64(registers)).astype(np.int64)
         when = at[live]
@@ -192,29 +192,49 @@ def near_duplicate_links(docs: DataFrame, text: str = "text", settings: Settings
     return links.unionByName(verified(pairs, "links_3"))
 
 
+def classes(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> DataFrame:
+    """class_key, class_label, class_id, n_in_class, is_kept: a row per distinct text with words.
+
+    The class of a text is named by the smallest known document id in it. is_kept holds for one
+    text of the class, the first by hash that has that id.
+    """
+    keyed = with_key(docs.select(doc_id, text), text).where("class_key IS NOT NULL")
+    owners = materialise(keyed.groupBy("class_key").agg(
+        F.min(doc_id).alias("owner"), F.count(F.lit(1)).alias("copies")), "owners")
+    labels = components(near_duplicate_links(docs, text, settings))
+    labelled = owners.join(labels, F.col("class_key") == F.col("node"), "left").select(
+        "class_key", "owner", "copies", F.coalesce("label", "class_key").alias("class_label"))
+    least = F.min(F.struct(F.col("owner").isNull().alias("unknown"), "owner", "class_key"))
+    whole = labelled.groupBy("class_label").agg(
+        F.sum("copies").alias("n_in_class"), least.alias("first"))
+    return labelled.join(whole, "class_label").select(
+        "class_key", "class_label", F.col("first.owner").alias("class_id"), "n_in_class",
+        (F.col("first.class_key") == F.col("class_key")).alias("is_kept"))
+
+
+def with_key(docs: DataFrame, text: str) -> DataFrame:
+    """docs with class_key, the hash of the text; NULL for texts without words."""
+    has_words = F.coalesce(F.col(text), F.lit("")).rlike(r"\S")
+    return docs.withColumn("class_key", F.when(has_words, text_key(F.col(text))))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings(),
 ) -> DataFrame:
     """docs with class_id and n_in_class: one row per document.
 
     Documents with the same text, or connected by texts of enough similarity, form a class, named
-    by its smallest document id; its smallest (id, text hash) row is its representative in
-    `keep_one`. Documents without words (NULL, empty, white space) are each a class of their own;
-    ids that are NULL never name a class while another id of it is known. Columns of the two names
-    are replaced.
+    by its smallest document id that is not NULL. Documents without words (NULL, empty, white
+    space) are each a class of their own. Repeated rows count as documents. Columns of the two
+    names are replaced.
     """
-    docs = docs.drop("class_id", "n_in_class", "class_label")
-    labels = components(near_duplicate_links(docs, text, settings))
-    has_words = F.coalesce(F.col(text), F.lit("")).rlike(r"\S")
-    keyed = docs.withColumn("class_key", text_key(F.col(text)))
-    marked = keyed.join(labels, F.col("class_key") == F.col("node"), "left").withColumn(
-        "class_label", F.when(has_words, F.coalesce("label", "class_key"))).drop(
-        "node", "label", "class_key")
-    classes = marked.where("class_label IS NOT NULL").groupBy("class_label").agg(
-        F.min(doc_id).alias("class_id"), F.count(F.lit(1)).alias("n_in_class"))
-    return marked.join(classes, "class_label", "left").withColumn(
-        "class_id", F.when(has_words, F.col("class_id")).otherwise(F.col(doc_id))).withColumn(
-        "n_in_class", F.coalesce("n_in_class", F.lit(1).cast("bigint")))
+    docs = docs.drop("class_id", "n_in_class", "class_key")
+    found = materialise(classes(docs, doc_id, text, settings), "classes")
+    marked = with_key(docs, text).join(
+        found.select("class_key", "class_id", "n_in_class"), "class_key", "left")
+    return marked.withColumns({
+        "class_id": F.when(F.col("class_key").isNull(), F.col(doc_id)).otherwise(F.col("class_id")),
+        "n_in_class": F.coalesce("n_in_class", F.lit(1).cast("bigint"))}).drop("class_key")
 
 
 def keep_one(
@@ -222,12 +242,13 @@ def keep_one(
 ) -> DataFrame:
     """One document of each class: the one of the smallest id; of repeated rows one stays.
 
-    Documents without words are kept as they are.
+    Documents without words are kept as they are. Texts move once, to meet the kept ids.
     """
-    found = near_duplicates(docs, doc_id, text, settings)
     columns = docs.columns
-    alone = found.where("class_label IS NULL").select(*columns)
-    # The smallest id is found without its text; equal rows of that id fall together afterwards.
-    grouped = found.where("class_label IS NOT NULL")
-    first = grouped.where(F.col(doc_id).eqNullSafe(F.col("class_id")))
-    return first.dropDuplicates(["class_label"]).select(*columns).unionByName(alone)
+    found = classes(docs, doc_id, text, settings).where("is_kept")
+    found = materialise(found.select("class_key", F.col("class_id").alias("keep_id")), "kept")
+    keyed = with_key(docs, text)
+    kept = keyed.join(found, (keyed["class_key"] == found["class_key"])
+                      & keyed[doc_id].eqNullSafe(found["keep_id"]), "left_semi")
+    kept = kept.dropDuplicates(["class_key", doc_id])
+    return kept.select(*columns).unionByName(keyed.where("class_key IS NULL").select(*columns))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopgrain.llm.frames import limit_batches
+from shopgrain.llm.frames import bounded_sample, limit_batches
 from shopgrain.session import materialise
 
 LEAF = 24
@@ -240,7 +240,7 @@ def top_k(
     ids, rows of one id count once (that of the best score), and a query with fewer candidates has
     fewer answers. Rows without an id, or with a vector that is NULL, empty, or holds a NULL,
     non-finite or too large component (2^24 after scaling) take no part. An empty side gives no
-    rows. Pivots are drawn from at most pivot_sample vectors of smallest hash; they decide where
+    rows. Pivots are drawn from a sample of about pivot_sample vectors; they decide where
     vectors are searched, never whether.
     """
     def clean(df: DataFrame) -> DataFrame:
@@ -249,7 +249,7 @@ def top_k(
 
     spark = vectors.sparkSession
     found = clean(vectors)
-    drawn = found.orderBy(F.xxhash64("id", "v")).limit(pivot_sample).select("v").toArrow()
+    drawn = bounded_sample(found, F.struct("id", "v"), pivot_sample).select("v").toArrow()
     rows = drawn.column("v").to_pylist()
     width = max(set(map(len, rows)), key=list(map(len, rows)).count) if rows else 1
     points = np.unique(np.array([r for r in rows if len(r) == width], np.int64).reshape(-1, width), axis=0)

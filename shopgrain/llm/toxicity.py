@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.llm.frames import add_columns, limit_batches, slices
+from shopgrain.llm.frames import add_columns, bounded_sample, limit_batches, slices
 from shopgrain.session import materialise
 
 PREFIXES = (4, 5, 6)
@@ -196,8 +196,8 @@ def train(
     """A model from labelled rows; rows with a NULL label teach nothing, NULL texts have no words.
 
     Counts cover all rows. The model keeps the features whose |z| reaches z_least, of them at most
-    the max_features most significant, and so stays bounded. The curve is fitted on the rows of
-    smallest text hashes, at most calibration_rows. Without a toxic and another row no word scores,
+    the max_features most significant, and so stays bounded. The curve is fitted on a sample of about
+    calibration_rows rows. Without a toxic and another row no word scores,
     and all texts get one low score.
     """
     rows = rows.where(F.col(toxic).isNotNull())
@@ -213,8 +213,8 @@ def train(
     order = np.argsort(hashes)
     delta, z = (kept.column(c).to_numpy()[order] for c in ("delta", "z"))
     model = Model(hashes[order], delta, z, drift)
-    some = rows.select(F.col(text).alias("text"), (F.col(toxic) != 0).alias("toxic"),
-                       F.xxhash64(text).alias("h")).orderBy("h").limit(calibration_rows)
+    some = bounded_sample(rows.select(F.col(text).alias("text"), (F.col(toxic) != 0).alias("toxic")),
+                          F.col("text"), calibration_rows)
     seen = passages(some, model, "text").select(
         "toxic", "n_tokens", "word_scores",
         F.transform("passages", lambda p: p["score"]).alias("s")).toArrow()
