@@ -57,6 +57,16 @@ def late_moves(shop: Shop) -> DataFrame:
     )
 
 
+def mixed_moves(shop: Shop) -> DataFrame:
+    """A feed with changes that apply, that are equal, that come late, and of unseen users."""
+    feed = moves(shop).where("city <> 'City 0 (moved)'").unionByName(
+        late_moves(shop).where("city = 'City 0 (late)'"))
+    same = shop.users.where("city = 'City 5'").select(
+        "user_id", "email", "full_name", "city", ntz(MOVED_AT).alias("effective_at"))
+    unseen = same.withColumn("user_id", -F.col("user_id"))
+    return feed.unionByName(same).unionByName(unseen)
+
+
 def star_tables(
     spark: SparkSession, sf_dir: str, shop_of: ShopReader = roles.role_shop
 ) -> VersionedTables:
@@ -135,6 +145,8 @@ def _shop_queries() -> dict[str, Callable[[Shop], DataFrame]]:
         "dim_product_upsert": _dim_product_upsert,
         "rejected_customer_changes": lambda s: star.rejected_customer_changes(
             star.dim_customer(s.users), late_moves(s)),
+        "star_change_outcomes": lambda s: star.change_outcomes(
+            star.dim_customer(s.users), mixed_moves(s)),
         "audit_unique": a.audit_unique,
         "audit_not_null": a.audit_not_null,
         "audit_foreign_keys": a.audit_foreign_keys,
@@ -171,20 +183,26 @@ def _dim_product_upsert(s: Shop) -> DataFrame:
 def _star_queries() -> dict[str, Callable[..., DataFrame]]:
     """Jobs on the loaded star; each names the star tables it takes."""
     p = pairs
+
+    def whole_star(audit):
+        def run(dim_date, dim_product, dim_customer, fct_orders, fct_order_items):
+            return audit(dict(zip(STAR_TABLES, (
+                dim_date, dim_product, dim_customer, fct_orders, fct_order_items))))
+
+        return run
+
     return {
         "dim_date": lambda dim_date: dim_date,
         "dim_product": lambda dim_product: dim_product,
         "dim_customer": lambda dim_customer: dim_customer,
         "fct_orders": lambda fct_orders: fct_orders.drop("order_month"),
         "fct_order_items":
-            lambda fct_order_items: fct_order_items.drop("order_month", "order_item_key"),
+            lambda fct_order_items: fct_order_items.drop("order_month"),
         "scd2_history_check": star.scd2_history_check,
         "scd2_audit": audits.scd2_audit,
-        "star_audit_unique": lambda dim_customer, fct_orders, fct_order_items: (
-            audits.duplicate_keys(dim_customer, "dim_customer", ("customer_key",))
-            .unionByName(audits.duplicate_keys(fct_orders, "fct_orders", ("order_id",)))
-            .unionByName(audits.duplicate_keys(
-                fct_order_items, "fct_order_items", ("order_id", "product_key")))),
+        "star_audit_unique": whole_star(audits.star_audit_unique),
+        "star_audit_not_null": whole_star(audits.star_audit_not_null),
+        "star_audit_foreign_keys": whole_star(audits.star_audit_foreign_keys),
         "monthly_revenue_star": p.monthly_revenue_star,
         "category_margin_star": p.category_margin_star,
         "weekend_split_star": p.weekend_split_star,
@@ -236,6 +254,17 @@ def _idempotence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.idempotence_check(before, {name: stored.read(name) for name in STAR_TABLES})
 
 
+def _star_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects that a load stores for a mixed feed."""
+    shop = roles.role_shop(spark, sf_dir)
+    root = f"{_root(spark, sf_dir)}/mixed_star"
+    stored = VersionedTables(spark, root, STAR_DDL)
+    if root not in _loaded:
+        star.load_star(shop, stored, mixed_moves(shop))
+        _loaded.add(root)
+    return stored.read(star.REJECTS)
+
+
 def _join_fanout_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = roles.role_shop(spark, sf_dir)
     customers = star_tables(spark, sf_dir).read("dim_customer")
@@ -326,6 +355,7 @@ def queries(
         "pit_features": _pit_features,
         "idempotence_check": _idempotence_check,
         "join_fanout_report": _join_fanout_report,
+        "star_rejects": _star_rejects,
         "csv_bulk_load": _csv_bulk_load,
         "parquet_reload": _parquet_reload,
         "question_report": _question_report,

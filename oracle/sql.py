@@ -307,7 +307,7 @@ def _questions() -> dict[str, str]:
 
 def _trips() -> dict[str, str]:
     s: dict[str, str] = {}
-    total, dist = "CAST(total_amount AS DECIMAL(18,4))", "CAST(trip_distance AS DECIMAL(18,4))"
+    total, dist = "CAST(total_amount AS DECIMAL(28,6))", "CAST(trip_distance AS DECIMAL(28,6))"
     minutes = "date_diff('minute', pickup_at, dropoff_at)"
     exact = "(epoch_us(dropoff_at) - epoch_us(pickup_at)) / 60000000.0"
     s["trip_totals"] = q("trips", "trips:i avg_total:d",
@@ -438,12 +438,26 @@ def _star_tables() -> dict[str, str]:
              ELSE created_at - INTERVAL 1 DAY END AS effective_at, created_at AS open_since,
              CASE city WHEN 'City 0' THEN 'same instant' ELSE 'before open version' END
              AS reason FROM r_users WHERE city IN ('City 0', 'City 1')""")
+    s["star_rejects"] = q(
+        "users", "user_id:i effective_at:t open_since:t reason:s",
+        """SELECT user_id, created_at AS effective_at, created_at AS open_since,
+             'same instant' AS reason FROM r_users WHERE city = 'City 0'""")
+    s["star_change_outcomes"] = q(
+        "users", "outcome:s changes:i",
+        """SELECT CASE WHEN city IN ('City 1', 'City 2', 'City 3', 'City 4') OR city IS NULL
+             THEN 'applied' WHEN city = 'City 0' THEN 'rejected' ELSE 'unchanged' END AS outcome,
+             COUNT(*) AS changes FROM r_users
+           WHERE city IS NULL OR city IN ('City 0', 'City 1', 'City 2', 'City 3', 'City 4', 'City 5')
+           GROUP BY 1
+           UNION ALL SELECT 'new user', COUNT(*) FROM r_users WHERE city = 'City 5'
+           HAVING COUNT(*) > 0""")
     s["fct_orders"] = star(
         "order_key:i order_id:i customer_key:i order_date_id:i order_status:s total_amount:d "
         "discount_amount:d delivery_days:i", "SELECT * FROM fct_orders")
     s["fct_order_items"] = star(
-        "order_id:i order_date_id:i customer_key:i product_key:i quantity:i unit_price:d "
-        "cost_amount:d subtotal:d gross_margin:d", "SELECT * FROM fct_order_items")
+        "order_item_key:s order_id:i order_date_id:i customer_key:i product_key:i quantity:i "
+        "unit_price:d cost_amount:d subtotal:d gross_margin:d",
+        "SELECT *, order_id || '-' || product_key AS order_item_key FROM fct_order_items")
     s["pit_features"] = star(
         "order_id:i order_date_id:i historical_city:s customer_key:i",
         """SELECT o.order_id, order_date_id, city AS historical_city, o.customer_key
@@ -706,9 +720,46 @@ def _audits() -> dict[str, str]:
                ("user_id",), "one open version per user"),
     ]))
     s["star_audit_unique"] = star(verdict, union([
-        unique("dim_customer", "dim_customer", ("customer_key",)),
-        unique("fct_orders", "fct_orders", ("order_id",)),
-        unique("fct_order_items", "fct_order_items", ("order_id", "product_key")),
+        unique(table, table, key) for table, key in (
+            ("dim_date", ("date_id",)), ("dim_date", ("full_date",)),
+            ("dim_customer", ("customer_key",)), ("dim_product", ("product_key",)),
+            ("dim_product", ("product_id",)), ("fct_orders", ("order_key",)),
+            ("fct_orders", ("order_id",)), ("fct_order_items", ("order_id", "product_key")))
+    ] + ["""SELECT 'fct_order_items' AS table_name, 'unique(order_item_key)' AS rule,
+            COUNT(*) AS violations, MIN(k) AS sample_key FROM (
+            SELECT order_id || '-' || product_key AS k FROM fct_order_items
+            GROUP BY 1 HAVING COUNT(*) > 1)"""]))
+    required = {
+        "dim_date": ("date_id", "full_date year quarter month month_name day day_name is_weekend"),
+        "dim_customer": ("customer_key", "user_id email full_name valid_from is_current"),
+        "dim_product": ("product_key",
+                        "product_id sku product_name category_name unit_cost unit_price"),
+        "fct_orders": ("order_key", "order_id customer_key order_date_id order_status "
+                                    "total_amount discount_amount"),
+        "fct_order_items": ("order_id || '-' || product_key",
+                            "order_id order_date_id customer_key product_key quantity unit_price "
+                            "cost_amount subtotal gross_margin"),
+    }
+    s["star_audit_not_null"] = star(verdict, union([
+        f"""SELECT '{table}' AS table_name, '{name} IS NOT NULL' AS rule,
+              COUNT(*) - COUNT({column}) AS violations,
+              MIN(CASE WHEN {column} IS NULL THEN CAST({key} AS VARCHAR) END) AS sample_key
+            FROM {table}"""
+        for table, (key, names) in required.items()
+        for name, column in [("order_item_key" if "||" in key else key, key),
+                             *((n, n) for n in names.split())]
+    ]))
+    s["star_audit_foreign_keys"] = star(verdict, union([
+        f"""SELECT '{table}' AS table_name, '{column} references {parent}' AS rule,
+              COUNT(*) AS violations, MIN(CAST({column} AS VARCHAR)) AS sample_key
+            FROM {table} WHERE {column} IS NOT NULL
+              AND {column} NOT IN (SELECT {key} FROM {parent})"""
+        for table, column, parent, key in (
+            ("fct_orders", "customer_key", "dim_customer", "customer_key"),
+            ("fct_orders", "order_date_id", "dim_date", "date_id"),
+            ("fct_order_items", "order_date_id", "dim_date", "date_id"),
+            ("fct_order_items", "customer_key", "dim_customer", "customer_key"),
+            ("fct_order_items", "product_key", "dim_product", "product_key"))
     ]))
     s["table_counts"] = q(everything, "table_name:s row_count:i", union(
         [f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM r_{t}" for t in m.SHOP_DDL]))

@@ -2,99 +2,164 @@
 
 A global window (`ntile`, `row_number`, or a median over all rows) sends every row to one task.
 Here a position is found by counting instead: split the value range into equal steps, count rows
-per step on the executors, keep only the step that holds the position, and repeat. The driver sees
-one bounded histogram per round, and a task sorts rows only once at most `max_rows` are left.
+per step on the executors, go on within the step that holds the position, and turn to the next
+column once a step is a single value. Any number of positions of any number of orders take part in
+the same counts, so rounds do not add up; the driver sees a bounded histogram of each. Size changes
+nothing but the time a round takes. NULL sorts before every value, as in Spark's own ascending order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-FANOUT = 4096  # histogram steps per round, the most rows one round brings to the driver
-MAX_ROWS = 1_000_000  # rows one task may sort
+FANOUT = 4096  # histogram steps per round and open range
+NULL_STEP = -1
+
+
+@dataclass
+class _Range:
+    """Positions still looked for among rows with the given first values, and a range of the next."""
+
+    order: int
+    prefix: tuple
+    low: int
+    high: int
+    nulls: bool                # NULLs of the next column belong to it too
+    wanted: dict[int, int]     # position asked for -> position within the range
+
+    def width(self, fanout: int) -> int:
+        return (self.high - self.low) // fanout + 1
+
+    def step(self, columns: list[str], fanout: int) -> Column:
+        """The step a row falls in, NULL for rows outside."""
+        c = F.col(columns[len(self.prefix)])
+        wide = c.cast("decimal(20,0)") if self.high - self.low >= 1 << 62 else c
+        number = F.when(c.between(self.low, self.high), F.floor(
+            (wide - F.lit(self.low)) / F.lit(self.width(fanout))).cast("bigint")
+            if wide is not c else F.expr(
+                f"(`{columns[len(self.prefix)]}` - ({self.low}L)) div {self.width(fanout)}L"))
+        if self.nulls:
+            number = F.when(c.isNull(), F.lit(NULL_STEP).cast("bigint")).otherwise(number)
+        inside = F.lit(True)
+        for name, value in zip(columns, self.prefix):
+            inside = inside & F.col(name).eqNullSafe(F.lit(value))
+        return F.when(inside, number)
+
+
+def rows_at_each(
+    df: DataFrame, orders: list[list[str]], positions: Callable[[int], list[int]],
+    fanout: int = FANOUT,
+) -> list[dict[int, tuple]]:
+    """For each order, the order values at 1-based positions, sorting ascending by its BIGINT columns.
+
+    `positions` is given the row count and names the positions wanted. Rows that tie on all columns
+    of an order are interchangeable, so the answer is always exact.
+    """
+    columns = list(dict.fromkeys(c for order in orders for c in order))
+    ends = df.agg(F.count(F.lit(1)).alias("_n"), *[
+        f(c).alias(f"{f.__name__}_{i}") for i, c in enumerate(columns) for f in (F.min, F.max)
+    ]).first()
+    size, wanted = ends["_n"], positions(ends["_n"])
+    found: list[dict[int, tuple]] = [{} for _ in orders]
+    if not wanted:
+        return found
+    if max(wanted) > size or min(wanted) < 1:
+        raise ValueError(f"positions {wanted} outside 1..{size}")
+
+    def whole(order: int, prefix: tuple, local: dict[int, int]) -> Iterator[_Range]:
+        """The whole range of the next column, or none where every column has its value."""
+        if len(prefix) == len(orders[order]):
+            found[order].update({p: prefix for p in local})
+            return
+        i = columns.index(orders[order][len(prefix)])
+        low, high = ends[f"min_{i}"], ends[f"max_{i}"]
+        yield _Range(order, prefix, low or 0, high or 0, True, local)
+
+    open_ranges = [r for k in range(len(orders)) for r in whole(k, (), {p: p for p in wanted})]
+    while open_ranges:
+        steps = [F.struct(F.lit(i).alias("i"), r.step(orders[r.order], fanout).alias("step"))
+                 for i, r in enumerate(open_ranges)]
+        hits = df.select(F.explode(F.filter(
+            F.array(*steps), lambda x: x["step"].isNotNull())).alias("x"))
+        counts = defaultdict(dict)
+        for row in hits.groupBy("x.i", "x.step").count().collect():
+            counts[row["i"]][row["step"]] = row["count"]
+        following: list[_Range] = []
+        for i, r in enumerate(open_ranges):
+            before = 0
+            for step, n in sorted(counts[i].items()):
+                local = {p: at - before for p, at in r.wanted.items() if before < at <= before + n}
+                before += n
+                if not local:
+                    continue
+                low = r.low + step * r.width(fanout)
+                if step == NULL_STEP:
+                    following += whole(r.order, (*r.prefix, None), local)
+                elif r.width(fanout) == 1:
+                    following += whole(r.order, (*r.prefix, low), local)
+                else:
+                    high = min(low + r.width(fanout) - 1, r.high)
+                    following.append(_Range(r.order, r.prefix, low, high, False, local))
+        open_ranges = following
+    return found
 
 
 def rows_at(
-    df: DataFrame, order: list[str], positions: Callable[[int], list[int]],
-    max_rows: int = MAX_ROWS, fanout: int = FANOUT,
+    df: DataFrame, order: list[str], positions: Callable[[int], list[int]], fanout: int = FANOUT,
 ) -> dict[int, tuple]:
-    """The order values at 1-based positions, sorting ascending by the BIGINT columns `order`.
+    """`rows_at_each` for one order."""
+    return rows_at_each(df, [order], positions, fanout)[0]
 
-    `positions` is given the row count and names the positions wanted. Rows that tie on all of
-    `order` are interchangeable, so the answer is always exact.
-    """
-    df = df.select(*order)
-    head = F.col(order[0])
-    size, low, high = df.agg(F.count(F.lit(1)), F.min(head), F.max(head)).first()
-    wanted = positions(size)
-    if not wanted:
-        return {}
-    if max(wanted) > size or min(wanted) < 1:
-        raise ValueError(f"positions {wanted} outside 1..{size}")
-    if size <= max_rows:
-        numbered = df.withColumn("position", F.row_number().over(W.orderBy(*order)))
-        found = numbered.where(F.col("position").isin(wanted)).collect()
-        return {row["position"]: tuple(row[c] for c in order) for row in found}
-    if low == high:
-        if len(order) == 1:
-            return {p: (low,) for p in wanted}
-        tails = rows_at(df, order[1:], lambda _: wanted, max_rows, fanout)
-        return {p: (low, *tail) for p, tail in tails.items()}
-
-    width = (high - low) // fanout + 1
-    step = F.expr(f"({order[0]} - ({low}L)) div {width}L")
-    counts = sorted(df.groupBy(step.alias("step")).count().collect())
-    result: dict[int, tuple] = {}
-    before = 0
-    for number, count in counts:
-        local = [p - before for p in wanted if before < p <= before + count]
-        if local:
-            first = low + number * width
-            part = df.where(head.between(first, min(first + width - 1, high)))
-            found = rows_at(part, order, lambda _, local=local: local, max_rows, fanout)
-            result |= {p + before: row for p, row in found.items()}
-        before += count
-    return result
-
-
-def exact_median(df: DataFrame, column: str, max_rows: int = MAX_ROWS) -> float | None:
+
+def exact_median(df: DataFrame, column: str) -> float | None:
     """Median of a BIGINT column, NULLs left out, interpolated between the two middle rows."""
     def middle(size: int) -> list[int]:
         return sorted({(size + 1) // 2, size // 2 + 1}) if size else []
 
     present = df.where(F.col(column).isNotNull())
-    values = [row[0] for row in rows_at(present, [column], middle, max_rows).values()]
+    values = [row[0] for row in rows_at(present, [column], middle).values()]
     return sum(values) / len(values) if values else None
 
 
-def _is_after(order: list[str], cut: tuple) -> Column:
-    """True where a row sorts after `cut`."""
+def is_after(order: list[str], cut: tuple) -> Column:
+    """True where a row sorts after `cut`, NULL before every value."""
     after = F.lit(False)
     for name, value in reversed(list(zip(order, cut))):
         c = F.col(name)
-        after = (c > F.lit(value)) | ((c == F.lit(value)) & after)
+        if value is None:
+            after = c.isNotNull() | after
+        else:
+            after = F.coalesce(c > F.lit(value), F.lit(False)) | (c.eqNullSafe(F.lit(value)) & after)
     return after
 
 
-def global_ntile(
-    df: DataFrame, order: list[str], tiles: int, max_rows: int = MAX_ROWS
-) -> Column:
-    """A column equal to `ntile(tiles) over (order by ...)` for a total order on BIGINT columns.
+def global_ntiles(
+    df: DataFrame, orders: list[list[str]], tiles: int, fanout: int = FANOUT,
+) -> list[Column]:
+    """For each order a column equal to `ntile(tiles) over (order by ...)`, for total orders.
 
-    df is read once per round of counting, so it should be a written table. The returned column
-    compares a row with `tiles - 1` constants and needs no shuffle.
+    df is read once per round of counting for all orders together, so it should be a written table.
+    A returned column compares a row with `tiles - 1` constants and needs no shuffle.
     """
     def tile_ends(size: int) -> list[int]:
         share, extra = divmod(size, tiles)
         ends = {j * share + min(j, extra) for j in range(1, tiles)}
         return sorted(p for p in ends if 0 < p < size)
 
-    cuts = rows_at(df, order, tile_ends, max_rows)
-    tile = F.lit(1)
-    for cut in cuts.values():
-        tile = tile + F.when(_is_after(order, cut), 1).otherwise(0)
-    return tile
+    out = []
+    for order, cuts in zip(orders, rows_at_each(df, orders, tile_ends, fanout)):
+        tile = F.lit(1)
+        for cut in cuts.values():
+            tile = tile + F.when(is_after(order, cut), 1).otherwise(0)
+        out.append(tile)
+    return out
+
+
+def global_ntile(df: DataFrame, order: list[str], tiles: int, fanout: int = FANOUT) -> Column:
+    """`global_ntiles` for one order."""
+    return global_ntiles(df, [order], tiles, fanout)[0]

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from shopgrain.operators.joins import join_size
-from shopgrain.sources.schemas import SHOP_DDL, Rules
+from shopgrain.sources.schemas import (
+    SHOP_DDL, STAR_DDL, STAR_FOREIGN_KEYS, STAR_NULLABLE, STAR_UNIQUE_KEYS, ForeignKey, Rules,
+)
 from shopgrain.sources.tables import Shop
 
 
@@ -96,24 +98,42 @@ def audit_cross_column(shop: Shop, rules: Rules = Rules()) -> DataFrame:
     return _checks(shop, rules.cross_column, rules)
 
 
-def audit_foreign_keys(shop: Shop, rules: Rules = Rules()) -> DataFrame:
+def _orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
     """Child rows whose reference has no parent; NULL references are allowed.
 
     The child is counted per referenced key first, so the anti join sees each key once.
     """
+    used = child.where(F.col(fk.column).isNotNull()).groupBy(F.col(fk.column).alias("ref")).agg(
+        F.count(F.lit(1)).alias("n"))
+    parents = parent.select(F.col(fk.parent_column).alias("ref"))
+    return _verdict(used.join(parents, "ref", "left_anti"), fk.table,
+                    f"{fk.column} references {fk.parent}", F.sum("n"), F.min(_key_text(["ref"])))
+
+
+def audit_foreign_keys(shop: Shop, rules: Rules = Rules()) -> DataFrame:
+    return _union([_orphans(shop.table(fk.table), shop.table(fk.parent), fk)
+                   for fk in rules.foreign_keys])
+
+
+def star_audit_unique(star: dict[str, DataFrame]) -> DataFrame:
+    return _union([duplicate_keys(star[table], table, key)
+                   for table, keys in STAR_UNIQUE_KEYS.items() for key in keys])
+
+
+def star_audit_not_null(star: dict[str, DataFrame]) -> DataFrame:
     parts = []
-    for fk in rules.foreign_keys:
-        used = (
-            shop.table(fk.table).where(F.col(fk.column).isNotNull())
-            .groupBy(F.col(fk.column).alias("ref")).agg(F.count(F.lit(1)).alias("n"))
-        )
-        parents = shop.table(fk.parent).select(F.col(fk.parent_column).alias("ref"))
-        rule = f"{fk.column} references {fk.parent}"
-        parts.append(_verdict(used.join(parents, "ref", "left_anti"), fk.table, rule,
-                              F.sum("n"), F.min(_key_text(["ref"]))))
+    for table, ddl in STAR_DDL.items():
+        names = [part.split()[0] for part in ddl.split(", ")]
+        required = [n for n in names if n not in STAR_NULLABLE.get(table, set()) | {"order_month"}]
+        parts.append(_row_rules(star[table], table, STAR_UNIQUE_KEYS[table][0][0],
+                                {f"{n} IS NOT NULL": F.col(n).isNull() for n in required}))
     return _union(parts)
 
 
+def star_audit_foreign_keys(star: dict[str, DataFrame]) -> DataFrame:
+    return _union([_orphans(star[fk.table], star[fk.parent], fk) for fk in STAR_FOREIGN_KEYS])
+
+
 def cascade_plan(shop: Shop, users: DataFrame, coupons: DataFrame) -> DataFrame:
     """Rows that deleting these users and coupons would reach: (table_name, action, rows).
 

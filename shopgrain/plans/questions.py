@@ -20,7 +20,7 @@ from shopgrain.functions import (
     cents, day_name, dow_sunday0, mean, month_start, ntz, pct, ratio, round2, whole_days,
 )
 from shopgrain.operators.joins import label_null, not_exists, not_in
-from shopgrain.operators.positions import exact_median, global_ntile
+from shopgrain.operators.positions import exact_median, global_ntiles
 from shopgrain.session import materialise
 
 UNKNOWN_CITY = "Unknown"
@@ -88,10 +88,10 @@ def rfm_segments(orders: DataFrame, as_of: str) -> DataFrame:
         "rfm",
     )
 
-    def score(column: str) -> Column:
-        return global_ntile(totals, [column, "user_id"], 5)
-
+    recent, often, much = global_ntiles(
+        totals, [[c, "user_id"] for c in ("_stale", "frequency", "_cents")], 5)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
+    # The thresholds and names of segments.
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
         .when((r >= 3) & (f >= 3), "Loyal Customers")
@@ -101,9 +101,9 @@ def rfm_segments(orders: DataFrame, as_of: str) -> DataFrame:
     )
     return totals.select(
         "user_id", "recency", "frequency", "monetary",
-        score("_stale").alias("r_score"),
-        score("frequency").alias("f_score"),
-        score("_cents").alias("m_score"),
+        recent.alias("r_score"),
+        often.alias("f_score"),
+        much.alias("m_score"),
     ).withColumn("customer_segment", segment)
 
 
@@ -387,10 +387,11 @@ def inflow_by_reason(movements: DataFrame) -> DataFrame:
 def largest_lines(order_items: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """Lines with the most units, then the highest subtotal.
 
-    product_id is NOT NULL and references products, so each line has its name and the limit can
-    run before the join: ten rows meet the product table instead of every line.
+    Only lines whose product is known count, so a semi join on the product key comes before the
+    limit; the names are then looked up for ten rows.
     """
-    top = order_items.select("item_id", "order_id", "product_id", "quantity", "subtotal").orderBy(
+    known = order_items.join(products.select("product_id"), "product_id", "left_semi")
+    top = known.select("item_id", "order_id", "product_id", "quantity", "subtotal").orderBy(
         F.col("quantity").desc(), F.col("subtotal").desc(), "order_id", "item_id"
     ).limit(k)
     return top.join(products.select("product_id", "name"), "product_id").select(

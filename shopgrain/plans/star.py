@@ -160,6 +160,19 @@ def rejected_customer_changes(dim: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
+def change_outcomes(dim: DataFrame, incoming: DataFrame) -> DataFrame:
+    """What becomes of each change: the outcomes of a feed add up to its rows."""
+    outcome = (
+        F.when(F.col("new").isNull(), None)
+        .when(F.col("old").isNull(), "new user")
+        .when(~F.col("differs"), "unchanged")
+        .when(F.col("in_time"), "applied")
+        .otherwise("rejected")
+    )
+    return _changes(dim, incoming).groupBy(outcome.alias("outcome")).agg(
+        F.count(F.lit(1)).alias("changes")).where("outcome IS NOT NULL")
+
+
 # --- facts -----------------------------------------------------------------------------------
 
 
@@ -222,7 +235,7 @@ def fct_order_items(
     rows = (
         merged.join(costs, "product_id")
         .select(
-            F.xxhash64("order_id", "product_key").alias("order_item_key"),
+            F.concat_ws("-", "order_id", "product_key").alias("order_item_key"),
             "order_id", "order_date_id", "customer_key", "product_key", "quantity", "unit_price",
             cost.alias("cost_amount"), "subtotal",
             (F.col("subtotal") - cost).cast("decimal(12,2)").alias("gross_margin"),
@@ -259,20 +272,19 @@ def sync_order_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 # --- whole load ------------------------------------------------------------------------------
 
 STAR_TABLES = list(STAR_DDL)
-MIN_ROWS_PER_FOLDER = 1_000_000
+REJECTS = "dim_customer_rejects"
 
 
 def load_star(
     shop: Shop, tables: VersionedTables, changes: DataFrame | None = None,
     update_cols: dict[str, list[str]] | None = None,
-    min_rows_per_folder: int = MIN_ROWS_PER_FOLDER,
 ) -> None:
     """Bring all five star tables up to date. Running it again changes nothing.
 
     Each step reads what the step before it wrote, which also cuts the plan at every table. Facts
-    get a folder per month once a month holds `min_rows_per_folder` orders on average; smaller
-    facts would only turn into many small files. Either way files are sorted by date, and AQE
-    splits what is too big for one file, so a busy month is not one task.
+    are cut into files by date and then order, and sorted within, at any size: files hold disjoint
+    ranges, a date filter skips files, and a busy day spans several. Changes that come too late for
+    the history are stored as `dim_customer_rejects`, seen against the dimension before the step.
     """
     frozen = update_cols or {}
 
@@ -280,18 +292,15 @@ def load_star(
         return tables.read(name) if tables.exists(name) else None
 
     def write_fact(name: str, df: DataFrame) -> DataFrame:
-        spread = df.hint("rebalance", "order_month") if by_month else df.hint("rebalance")
-        return tables.write(name, spread.sortWithinPartitions("order_month", "order_date_id"),
-                            "order_month" if by_month else None)
-
-    calendar = dim_date(order_years(shop.orders), old("dim_date")).coalesce(1)
-    months = tables.write("dim_date", calendar).select("year", "month").distinct().count()
-    by_month = shop.orders.count() >= min_rows_per_folder * months
+        cut = ("order_date_id", "order_id")
+        return tables.write(name, df.repartitionByRange(*cut).sortWithinPartitions(*cut))
 
+    tables.write("dim_date", dim_date(order_years(shop.orders), old("dim_date")).coalesce(1))
     products = tables.write("dim_product", dim_product(
         shop.products, shop.categories, old("dim_product"), frozen.get("dim_product")))
     customers = tables.write("dim_customer", dim_customer(shop.users, old("dim_customer")))
     if changes is not None:
+        tables.write(REJECTS, rejected_customer_changes(customers, changes))
         customers = tables.write("dim_customer", apply_customer_changes(customers, changes))
     orders = write_fact("fct_orders", fct_orders(
         shop.orders, customers, shop.shipments, old("fct_orders"), frozen.get("fct_orders")))

@@ -1,8 +1,9 @@
 """Ten questions asked of one trips file.
 
 Where the SQL and the dataframe wording of a question differ in meaning, the SQL meaning is the
-plain function and the dataframe meaning the `_strict` one. Money and distance are summed as whole
-ten-thousandths, because a sum of doubles changes with the order in which tasks finish.
+plain function and the dataframe meaning the `_strict` one. Money and distance are summed as
+decimals of SOURCE_SCALE places and ratios as decimals of RATIO_SCALE, because a sum of doubles
+changes with the order in which tasks finish.
 """
 
 from __future__ import annotations
@@ -15,13 +16,12 @@ from shopgrain.functions import elapsed_seconds, minute_crossings, round_to
 SHORT, MEDIUM, LONG = "short (<10 min)", "medium (10-30 min)", "long (>30 min)"
 
 
-def _units(name: str) -> Column:
-    """Ten-thousandths as BIGINT."""
-    return F.floor(F.col(name) * 10000.0 + 0.5)
+SOURCE_SCALE = 6   # decimal places that amounts and distances of the source may have
+RATIO_SCALE = 12   # places kept of a ratio of one row
 
 
 def _sum(name: str) -> Column:
-    return (F.sum(_units(name)).cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(5,4)"))
+    return F.sum(F.col(name).cast(f"decimal(28,{SOURCE_SCALE})"))
 
 
 def _rows() -> Column:
@@ -29,7 +29,12 @@ def _rows() -> Column:
 
 
 def _mean(name: str) -> Column:
-    return round_to(F.sum(_units(name)) / 10000.0 / F.nullif(F.count(name), F.lit(0)), 4)
+    return round_to(_sum(name).cast("double") / F.nullif(F.count(name), F.lit(0)), 4)
+
+
+def _mean_ratio(x: Column) -> Column:
+    total = F.sum(x.cast(f"decimal(28,{RATIO_SCALE})"))
+    return total.cast("double") / F.nullif(F.count(x), F.lit(0))
 
 
 def _boundary_minutes() -> Column:
@@ -66,7 +71,7 @@ def _tip_rates(trips: DataFrame, min_trips: int, k: int) -> DataFrame:
     rate = F.col("tip_amount") / F.nullif(F.col("total_amount"), F.lit(0.0))
     return (
         trips.groupBy("pu_location_id")
-        .agg(round_to(F.avg(rate), 6).alias("tip_rate"), _rows())
+        .agg(round_to(_mean_ratio(rate), 6).alias("tip_rate"), _rows())
         .where(F.col("trips") > min_trips)
         .select("pu_location_id", "tip_rate")
         .orderBy(F.col("tip_rate").desc_nulls_last(), "pu_location_id")
@@ -105,7 +110,7 @@ def _fastest(trips: DataFrame, minutes: Column, min_trips: int, k: int) -> DataF
                      minutes.alias("minutes"))
         .where(F.col("minutes").between(5, 120))
         .groupBy("pu_location_id", "do_location_id")
-        .agg(round_to(F.avg(speed) * 60.0, 4).alias("avg_mph"), _rows())
+        .agg(round_to(_mean_ratio(speed) * 60.0, 4).alias("avg_mph"), _rows())
         .where(F.col("trips") > min_trips)
         .select("pu_location_id", "do_location_id", "avg_mph")
         .orderBy(F.col("avg_mph").desc(), "pu_location_id", "do_location_id")

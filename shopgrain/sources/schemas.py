@@ -32,7 +32,7 @@ SHOP_DDL = {
                            "quantity INT, reference_reason STRING, created_at TIMESTAMP_NTZ",
 }
 
-# Star table -> DDL. `order_month` is the folder column of the facts.
+# Star table -> DDL. `order_month` serves month filters.
 STAR_DDL = {
     "dim_date": "date_id INT, full_date DATE, year INT, quarter INT, month INT, "
                 "month_name STRING, day INT, day_name STRING, is_weekend BOOLEAN",
@@ -44,7 +44,7 @@ STAR_DDL = {
     "fct_orders": "order_key BIGINT, order_id BIGINT, customer_key BIGINT, order_date_id INT, "
                   "order_status STRING, total_amount DECIMAL(12,2), "
                   "discount_amount DECIMAL(10,2), delivery_days INT, order_month INT",
-    "fct_order_items": "order_item_key BIGINT, order_id BIGINT, order_date_id INT, "
+    "fct_order_items": "order_item_key STRING, order_id BIGINT, order_date_id INT, "
                        "customer_key BIGINT, product_key BIGINT, quantity BIGINT, "
                        "unit_price DECIMAL(10,2), cost_amount DECIMAL(12,2), "
                        "subtotal DECIMAL(12,2), gross_margin DECIMAL(12,2), order_month INT",
@@ -117,6 +117,24 @@ CROSS_COLUMN = {
 }
 
 
+# The keys, references and nullable columns of the star.
+STAR_UNIQUE_KEYS = {
+    "dim_date": [("date_id",), ("full_date",)],
+    "dim_customer": [("customer_key",)],
+    "dim_product": [("product_key",), ("product_id",)],
+    "fct_orders": [("order_key",), ("order_id",)],
+    "fct_order_items": [("order_item_key",), ("order_id", "product_key")],
+}
+STAR_FOREIGN_KEYS = [
+    ForeignKey("fct_orders", "customer_key", "dim_customer", "customer_key", "restrict"),
+    ForeignKey("fct_orders", "order_date_id", "dim_date", "date_id", "restrict"),
+    ForeignKey("fct_order_items", "order_date_id", "dim_date", "date_id", "restrict"),
+    ForeignKey("fct_order_items", "customer_key", "dim_customer", "customer_key", "restrict"),
+    ForeignKey("fct_order_items", "product_key", "dim_product", "product_key", "restrict"),
+]
+STAR_NULLABLE = {"dim_customer": {"city", "valid_to"}, "fct_orders": {"delivery_days"}}
+
+
 @dataclass(frozen=True)
 class Rules:
     """The rule set an audit run works on; the defaults are the shop's own."""

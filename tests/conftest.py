@@ -3,14 +3,16 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                os.path.dirname(os.path.abspath(__file__))]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from shopgrain.session import local_session
 
-    return local_session(8, "tests")
+    scratch = str(tmp_path_factory.mktemp("scratch"))
+    return local_session(8, "tests", **{"spark.checkpoint.dir": scratch})
 
 
 @pytest.fixture(scope="session")

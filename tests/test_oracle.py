@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import _text_queries, queries
+from oracle.sql import all_sql
 from oracle_check import compare, connect
 
-BUILT, SQL = queries(), oracle_sql()
+BUILT = {name: build for name, build in queries().items() if name not in _text_queries()}
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")

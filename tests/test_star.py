@@ -122,21 +122,64 @@ def test_delivery_uses_one_parcel_per_order(spark):
     assert rows(s.delivery_by_order(parcels)) == [(1, 2), (2, None), (3, None)]
 
 
-@pytest.mark.parametrize("min_rows", [1, 1_000_000], ids=["month folders", "one folder"])
-def test_load_twice_changes_nothing(spark, shop, tmp_path, min_rows):
+def test_load_twice_changes_nothing(spark, shop, tmp_path):
     from __spark_entry__ import moves
 
     tables = VersionedTables(spark, str(tmp_path), STAR_DDL)
-    s.load_star(shop, tables, moves(shop), min_rows_per_folder=min_rows)
+    s.load_star(shop, tables, moves(shop))
     before = {name: tables.read(name) for name in s.STAR_TABLES}
-    folders = list((tmp_path / "fct_orders" / "v000001").glob("order_month=*"))
-    assert bool(folders) == (min_rows == 1)
-    s.load_star(shop, tables, moves(shop), min_rows_per_folder=min_rows)
+    s.load_star(shop, tables, moves(shop))
     check = s.idempotence_check(before, {name: tables.read(name) for name in s.STAR_TABLES})
     assert all(r.rows_gained == r.rows_lost == 0 for r in check.collect())
     assert before["fct_orders"].count() == shop.orders.count()
 
 
+def test_fact_files_hold_disjoint_dates(spark, shop, tmp_path):
+    tables = VersionedTables(spark, str(tmp_path), STAR_DDL)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # else these few rows become one file
+    try:
+        s.load_star(shop, tables)
+    finally:
+        spark.conf.set(merging, "true")
+    for name in ("fct_orders", "fct_order_items"):
+        ranges = sorted((r.a, r.b) for r in tables.read(name).groupBy(F.input_file_name()).agg(
+            F.min("order_date_id").alias("a"), F.max("order_date_id").alias("b")).collect())
+        assert len(ranges) > 2
+        assert all(one[1] <= two[0] for one, two in zip(ranges, ranges[1:]))
+
+
+def test_feed_adds_up_and_rejects_are_stored(spark, shop, tmp_path):
+    from __spark_entry__ import mixed_moves
+
+    feed, tables = mixed_moves(shop), VersionedTables(spark, str(tmp_path), STAR_DDL)
+    outcomes = {r.outcome: r.changes for r in s.change_outcomes(s.dim_customer(shop.users), feed).collect()}
+    assert set(outcomes) == {"applied", "unchanged", "rejected", "new user"}
+    assert sum(outcomes.values()) == feed.count()
+    s.load_star(shop, tables, feed)
+    assert tables.read(s.REJECTS).count() == outcomes["rejected"]
+    versions = tables.read("dim_customer").count()
+    assert versions == shop.users.count() + outcomes["applied"] + outcomes["new user"]
+
+
+def test_star_audits_find_planted_faults(star):
+    clean = {name: df for name, df in star.items()}
+    for audit in (audits.star_audit_unique, audits.star_audit_not_null, audits.star_audit_foreign_keys):
+        assert all(r.violations == 0 for r in audit(clean).collect())
+    items = star["fct_order_items"]
+    broken = clean | {
+        "fct_order_items": items.withColumns({
+            "product_key": F.when(F.col("order_id") % 7 == 0, -1).otherwise(F.col("product_key")),
+            "order_item_key": F.lit("one"),
+            "quantity": F.when(F.col("order_id") % 5 == 0, None).otherwise(F.col("quantity"))})}
+    def found(audit):
+        return {(r.table_name, r.rule) for r in audit(broken).collect() if r.violations}
+    assert ("fct_order_items", "unique(order_item_key)") in found(audits.star_audit_unique)
+    assert found(audits.star_audit_not_null) == {("fct_order_items", "quantity IS NOT NULL")}
+    assert found(audits.star_audit_foreign_keys) == {
+        ("fct_order_items", "product_key references dim_product")}
+
+
 def test_history_is_split_at_the_move(star):
     found = {(r.version_no, r.is_current): r
              for r in s.scd2_history_check(star["fct_orders"], star["dim_customer"]).collect()}
