@@ -121,6 +121,8 @@ def _shop_queries() -> dict[str, Callable[[Shop], DataFrame]]:
         "active_users_left_form": lambda s: q.active_users_left_form(s.users, s.orders),
         "orders_per_each_user": lambda s: q.orders_per_each_user(s.users, s.orders),
         "unused_coupons_not_in": lambda s: q.unused_coupons_not_in(s.coupons, s.orders),
+        "unused_coupons_not_in_known": lambda s: q.unused_coupons_not_in(
+            s.coupons, s.orders.where("coupon_id IS NOT NULL")),
         "unused_coupons_not_exists": lambda s: q.unused_coupons_not_exists(s.coupons, s.orders),
         "monthly_revenue_oltp": lambda s: pairs.monthly_revenue_oltp(s.orders),
         "category_margin_oltp": lambda s: pairs.category_margin_oltp(
@@ -134,7 +136,6 @@ def _shop_queries() -> dict[str, Callable[[Shop], DataFrame]]:
         "top_spenders_oltp": lambda s: pairs.top_spenders_oltp(s.orders),
         "category_items_oltp": lambda s: pairs.category_items_oltp(
             s.order_items, s.products, s.categories),
-        "payments_in_month": lambda s: layout.payments_in_month(s.payments, MONTH),
         "payments_in_month_by_function":
             lambda s: layout.payments_in_month_by_function(s.payments, MONTH),
         "payments_successful": lambda s: layout.payments_successful(s.payments),
@@ -228,7 +229,9 @@ def _trip_queries() -> dict[str, Callable[[DataFrame], DataFrame]]:
 def _layout_queries() -> dict[str, tuple[str, Callable[[DataFrame], DataFrame]]]:
     return {
         "orders_month_status": (
-            "orders_by_month", lambda df: layout.orders_month_status(df, MONTH)),
+            "orders_by_date", lambda df: layout.orders_month_status(df, MONTH)),
+        "payments_in_month": (
+            "payments_by_date", lambda df: layout.payments_in_month(df, MONTH)),
         "product_sales_point": (
             "items_by_product", lambda df: layout.product_sales_point(df, 42)),
         "returned_orders": ("orders_by_status", layout.returned_orders),

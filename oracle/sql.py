@@ -298,6 +298,10 @@ def _questions() -> dict[str, str]:
         "coupons orders", "coupon_id:i code:s",
         """SELECT coupon_id, code FROM r_coupons
            WHERE coupon_id NOT IN (SELECT coupon_id FROM r_orders)""")
+    s["unused_coupons_not_in_known"] = q(
+        "coupons orders", "coupon_id:i code:s",
+        """SELECT coupon_id, code FROM r_coupons WHERE coupon_id NOT IN (
+           SELECT coupon_id FROM r_orders WHERE coupon_id IS NOT NULL)""")
     s["unused_coupons_not_exists"] = q(
         "coupons orders", "coupon_id:i code:s",
         """SELECT coupon_id, code FROM r_coupons c WHERE NOT EXISTS

@@ -1,7 +1,7 @@
 """Data layouts that make selective filters cheap, and the filters that use them.
 
 Where a row store adds an index, a Parquet table is written so that a filter skips folders, files
-or row groups: partition folders for coarse columns, range-sorted files for keys, a narrow copy
+or row groups: partition folders for coarse columns, range-sorted files for keys and times, a narrow copy
 for a covering read. A layout function returns the rows as they should be written; `write_layout`
 stores them. No layout puts all rows of one value in one task: value folders are rebalanced, which
 splits a large value over several files, and sorted files are cut on the value plus a unique key.
@@ -20,15 +20,17 @@ from shopgrain.sources.tables import Shop
 from shopgrain.sources.versions import VersionedTables
 
 
-def _month_no(c: str):
-    return (F.year(c) * 100 + F.month(c)).alias("order_month")
+def orders_by_date(orders: DataFrame) -> DataFrame:
+    """Files that each cover a narrow range of days; a busy day spans several."""
+    return orders.repartitionByRange("order_date", "order_id").sortWithinPartitions(
+        "order_date", "order_id"
+    )
 
 
-def orders_by_month(orders: DataFrame) -> DataFrame:
-    """For a folder per month, sorted by status inside each file."""
-    return (
-        orders.select("*", _month_no("order_date")).hint("rebalance", "order_month")
-        .sortWithinPartitions("order_month", "order_status", "order_date")
+def payments_by_date(payments: DataFrame) -> DataFrame:
+    """Files that each cover a narrow range of days."""
+    return payments.repartitionByRange("payment_date", "payment_id").sortWithinPartitions(
+        "payment_date", "payment_id"
     )
 
 
@@ -65,7 +67,8 @@ def users_by_email(users: DataFrame) -> DataFrame:
 
 # Layout name -> (source table, layout, folder column).
 LAYOUTS = {
-    "orders_by_month": ("orders", orders_by_month, "order_month"),
+    "orders_by_date": ("orders", orders_by_date, None),
+    "payments_by_date": ("payments", payments_by_date, None),
     "items_by_product": ("order_items", items_by_product, None),
     "orders_by_status": ("orders", orders_by_status, "order_status"),
     "shipments_by_carrier": ("shipments", shipments_by_carrier, None),
@@ -74,7 +77,8 @@ LAYOUTS = {
 
 # Layout name -> DDL of the stored table.
 LAYOUT_DDL = {
-    "orders_by_month": SHOP_DDL["orders"] + ", order_month INT",
+    "orders_by_date": SHOP_DDL["orders"],
+    "payments_by_date": SHOP_DDL["payments"],
     "items_by_product": SHOP_DDL["order_items"],
     "orders_by_status": SHOP_DDL["orders"],
     "shipments_by_carrier": "carrier STRING, tracking_number STRING, shipment_status STRING",
@@ -93,10 +97,8 @@ def write_layout(shop: Shop, tables: VersionedTables, name: str) -> DataFrame:
 def orders_month_status(
     orders: DataFrame, month: date, status: str = "completed"
 ) -> DataFrame:
-    """Orders of one month and status; on `orders_by_month` only one folder is read."""
+    """Orders of one month and status; on `orders_by_date` other files and row groups are skipped."""
     wanted = in_month(F.col("order_date"), month) & (F.col("order_status") == status)
-    if "order_month" in orders.columns:
-        wanted = (F.col("order_month") == month.year * 100 + month.month) & wanted
     return orders.where(wanted).select("order_id", "user_id", "total_amount", "order_date")
 
 
@@ -109,7 +111,10 @@ def product_sales_point(order_items: DataFrame, product_id: int) -> DataFrame:
 
 
 def payments_in_month(payments: DataFrame, month: date) -> DataFrame:
-    """Payments of one month as a range on the stored column, which reaches the scan."""
+    """Payments of one month as a range on the stored column, which reaches the scan.
+
+    On `payments_by_date` other files and row groups are skipped.
+    """
     return payments.where(in_month(F.col("payment_date"), month)).agg(
         F.count(F.lit(1)).alias("payments")
     )

@@ -485,23 +485,23 @@ def order_funnel(orders: DataFrame, payments: DataFrame, shipments: DataFrame) -
 def coupon_margin(orders: DataFrame, order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, cost and margin of orders with and without a coupon.
 
-    Lines are costed and summed per order first, so the order count is a plain row count.
+    Lines move once, to the completed orders, and are summed per channel and product before costs
+    are looked up. Orders are counted where they have a line of a known product.
     """
-    per_order = (
-        order_items.select("order_id", "product_id", "quantity", "subtotal")
-        .join(products.select("product_id", "cost"), "product_id")
-        .groupBy("order_id")
-        .agg(F.sum("subtotal").alias("revenue"),
-             F.sum(F.col("quantity") * F.col("cost")).alias("cost"))
-    )
     channel = F.when(F.col("coupon_id").isNotNull(), "With coupon").otherwise("Without coupon")
-    totals = (
-        orders.where(DONE).select("order_id", channel.alias("sales_channel"))
-        .join(per_order, "order_id")
-        .groupBy("sales_channel")
-        .agg(_rows("order_count"), F.sum("revenue").alias("gross_revenue"),
-             F.sum("cost").alias("total_cost"))
-    )
+    done = orders.where(DONE).select("order_id", channel.alias("sales_channel"))
+    costs = products.select("product_id", "cost")
+    lines = order_items.select("order_id", "product_id", "quantity", "subtotal")
+    sold = lines.join(done, "order_id").groupBy("sales_channel", "product_id").agg(
+        F.sum("quantity").alias("units"), F.sum("subtotal").alias("revenue"))
+    sums = sold.join(costs, "product_id").groupBy("sales_channel").agg(
+        F.sum("revenue").alias("gross_revenue"),
+        F.sum(F.col("units") * F.col("cost")).alias("total_cost"))
+    known = lines.join(costs.select("product_id"), "product_id", "left_semi")
+    counts = done.join(known.select("order_id"), "order_id", "left_semi").groupBy(
+        "sales_channel").agg(_rows("order_count"))
+    totals = counts.join(sums, "sales_channel").select(
+        "sales_channel", "order_count", "gross_revenue", "total_cost")
     profit = F.col("gross_revenue") - F.col("total_cost")
     return totals.withColumn("gross_profit", profit).withColumn(
         "profit_margin_pct", pct(profit, F.col("gross_revenue"))

@@ -1,6 +1,6 @@
 """Layouts give the same rows as the plain table and let the scan skip data."""
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,14 +18,34 @@ def laid_out(spark, shop, tmp_path_factory):
     return {name: layout.write_layout(shop, tables, name) for name in layout.LAYOUTS}
 
 
-def test_month_folder_is_the_only_one_read(shop, laid_out):
-    fast = layout.orders_month_status(laid_out["orders_by_month"], MONTH)
-    assert rows(fast) == rows(layout.orders_month_status(shop.orders, MONTH))
-    text = plan(fast)
-    assert "(order_month#" in text.split("PartitionFilters")[1].split("\n")[0]
-    assert "EqualTo(order_status,completed)" in text
-    assert "GreaterThanOrEqual(order_date" in text
-    assert len({r[0] for r in fast.select(F.input_file_name()).collect()}) == 1
+def spread(spark, shop, tmp_path, name):
+    """The layout as several files, which these few rows would not fill."""
+    tables = VersionedTables(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return layout.write_layout(shop, tables, name)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def files_that_may_hold(stored, column, low, high):
+    """How many files the statistics of the column leave, and how many there are."""
+    spans = stored.groupBy(F.input_file_name()).agg(
+        F.min(column).alias("a"), F.max(column).alias("b")).collect()
+    return sum(r.a < high and r.b >= low for r in spans), len(spans)
+
+
+@pytest.mark.parametrize("name, column, filtered", [
+    ("orders_by_date", "order_date", layout.orders_month_status),
+    ("payments_by_date", "payment_date", layout.payments_in_month)])
+def test_month_needs_few_files(spark, shop, tmp_path, name, column, filtered):
+    stored = spread(spark, shop, tmp_path, name)
+    fast = filtered(stored, MONTH)
+    assert rows(fast) == rows(filtered(shop.table(layout.LAYOUTS[name][0]), MONTH))
+    assert f"GreaterThanOrEqual({column}" in plan(fast)
+    start = datetime(MONTH.year, MONTH.month, 1)
+    few, all_files = files_that_may_hold(stored, column, start, start + timedelta(days=31))
+    assert all_files > 4 and few <= 2
 
 
 def test_product_filter_reaches_the_scan(shop, laid_out):
