@@ -22,6 +22,9 @@ class Question:
     build: Callable[[Shop], DataFrame]
     order: list[str] = field(default_factory=list)
     limit: int | None = None
+    # What several questions have in common, and how this one goes on from it.
+    common: Callable[[Shop], DataFrame] | None = None
+    from_common: Callable[[DataFrame], DataFrame] | None = None
 
     def order_by(self) -> list[Column]:
         """Sort columns; NULL counts as the largest value."""
@@ -31,13 +34,20 @@ class Question:
             for name, _, way in terms
         ]
 
-    def report(self, shop: Shop, rows: int = 10) -> DataFrame:
-        """The first rows in report order; a bounded top-k, never a full sort."""
-        df = self.build(shop)
+    def report(self, shop: Shop, rows: int = 10, made: DataFrame | None = None) -> DataFrame:
+        """The first rows in report order; a bounded top-k, never a full sort.
+
+        `made` is what `common` gives, where it has been computed already.
+        """
+        df = self.build(shop) if made is None else self.from_common(made)
         keep = rows if self.limit is None else min(rows, self.limit)
         return df.orderBy(*self.order_by()).limit(keep) if self.order else df.limit(keep)
 
 
+def _category_totals(shop: Shop) -> DataFrame:
+    return q.category_totals(shop.order_items, shop.products)
+
+
 def catalogue(
     rfm_as_of: str = RFM_AS_OF, min_orders: int = 50, min_reviews: int = 20
 ) -> list[Question]:
@@ -119,11 +129,13 @@ def catalogue(
                  lambda s: q.highest_margin_products(s.products),
                  ["margin_pct desc", "product_id"], 5),
     ]
+    # Fixed value: how many categories each of these questions names.
     for number in range(31, 51):
         k = number % 5 + 3
         entries.append(Question(
             number, f"category_sales_top{k}", f"Sales of the best {k} categories",
             lambda s, k=k: q.category_sales(s.order_items, s.products, k),
             ["revenue desc", "category_id"], k,
+            _category_totals, lambda totals, k=k: q.best_categories(totals, k),
         ))
     return entries

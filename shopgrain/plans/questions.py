@@ -414,8 +414,8 @@ def highest_margin_products(products: DataFrame, k: int = 5) -> DataFrame:
     return _margin(products).orderBy(F.col("margin_pct").desc_nulls_last(), "product_id").limit(k)
 
 
-def category_sales(order_items: DataFrame, products: DataFrame, k: int) -> DataFrame:
-    """Lines sold and revenue of the k categories that earn most, over orders of any status."""
+def category_totals(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines sold and revenue per category, over orders of any status."""
     # item_id is a primary key, so counting it is counting rows.
     per_product = order_items.groupBy("product_id").agg(
         _rows("items"), F.sum("subtotal").alias("amount")
@@ -424,11 +424,18 @@ def category_sales(order_items: DataFrame, products: DataFrame, k: int) -> DataF
         per_product.join(products.select("product_id", "category_id"), "product_id")
         .groupBy("category_id")
         .agg(F.sum("items").alias("items_sold"), F.sum("amount").alias("revenue"))
-        .orderBy(F.col("revenue").desc(), "category_id")
-        .limit(k)
     )
 
 
+def best_categories(totals: DataFrame, k: int) -> DataFrame:
+    return totals.orderBy(F.col("revenue").desc(), "category_id").limit(k)
+
+
+def category_sales(order_items: DataFrame, products: DataFrame, k: int) -> DataFrame:
+    """The k categories that earn most."""
+    return best_categories(category_totals(order_items, products), k)
+
+
 # --- revenue, orders and coupons -------------------------------------------------------------
 
 
