@@ -7,11 +7,13 @@ of its text is done, which ends most after one arrival. Two registers agree with
 Jaccard similarity of the texts.
 
 Copies share a text and are one node throughout. Texts that agree on all registers of a band meet
-in a bucket. Buckets are settled by stars: first all members against the smallest, then, where a
-bucket still holds several components, all against a second member, and at last all remaining
-pairs of different components. A large group of copies so costs a star, not all its pairs, and no
-pair of a bucket is left undecided. Candidates whose registers agree far too seldom are dropped (by
-five standard deviations), and the rest are verified on their texts.
+in a bucket. A bucket is first settled by a star: all members are verified against the one that
+meets most texts over its buckets, which in a family of edited copies is the least edited. A large
+family so costs a star, not all its pairs. Buckets that still hold several components are grouped
+by their hub's component, members of a group are packed into blocks of bounded size, and every two
+blocks are compared in one task, exactly, by products of their shingle matrices; only links between
+different components leave it. So no pair of a bucket stays undecided. Before a star's texts are
+fetched, registers may agree by `slack`, four standard deviations, less than the similarity.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.llm.frames import add_columns
+from shopgrain.llm.frames import add_columns, limit_batches
 from shopgrain.llm.graph import components
 from shopgrain.llm.shingles import GOLDEN, counted, mix, shingles, uniform
 from shopgrain.session import materialise
@@ -35,7 +37,9 @@ class Settings:
     similarity: float = 0.8
     bands: int = 25
     band_rows: int = 5
-    slack: float = 0.2  # registers may agree by so much less than the similarity: 5.6 deviations
+    slack: float = 0.15
+    block: int = 256  # texts of a bucket that are compared with as many others at once,
+    block_shingles: int = 100_000  # and their shingles
 
     @property
     def registers(self) -> int:
@@ -137,59 +141,157 @@ def near_duplicate_links(docs: DataFrame, text: str = "text", settings: Settings
     """
     bodies = docs.where(F.col(text).isNotNull()).select(
         text_key(F.col(text)).alias("key"), F.col(text).alias("body"))
-    signed = sign(bodies, "body", settings).where("n_shingles > 0").drop("body", "n_shingles")
+    signed = sign(bodies, "body", settings).where("n_shingles > 0").drop("body")
     signed = materialise(signed.dropDuplicates(["key"]), "signed")
-    members = signed.select("key", F.explode("bands").alias("bucket"))
-    registers = signed.select("key", "registers")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """The similar ones among pairs (a, b), by registers first and then by their texts."""
-        same = F.aggregate(F.zip_with("ra", "rb", lambda x, y: (x == y).cast("int")), F.lit(0),
-                           lambda s, x: s + x)
-        least = (settings.similarity - settings.slack) * settings.registers
-        near = pairs.distinct().join(
-            registers.select(F.col("key").alias("a"), F.col("registers").alias("ra")), "a").join(
-            registers.select(F.col("key").alias("b"), F.col("registers").alias("rb")), "b").where(
-            same >= least).select("a", "b")
-        near = materialise(near, f"near_{name}")
-        keys = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
-        wanted = materialise(bodies.join(keys, "key", "left_semi").dropDuplicates(["key"]),
-                             f"texts_{name}")
-        both = near.join(wanted.select(F.col("key").alias("a"), F.col("body").alias("ta")), "a").join(
-            wanted.select(F.col("key").alias("b"), F.col("body").alias("tb")), "b")
-        return materialise(similarities(both, "ta", "tb").drop("ta", "tb").where(
-            F.col("similarity") >= settings.similarity).select("a", "b", "similarity"), name)
-
-    # First star: every member of a bucket against its smallest.
-    hubs = members.groupBy("bucket").agg(F.min("key").alias("b"), F.max("key").alias("last"))
-    hubs = hubs.where("b <> last").drop("last")
-    shared = materialise(members.join(hubs, "bucket"), "shared")
-    links = verified(shared.where("key <> b").select(F.col("key").alias("a"), "b"), "links_1")
-
-    def unsettled() -> DataFrame:
-        """Members of buckets that still hold several components, with their component."""
-        labels = components(links)
-        marked = shared.select("bucket", "key", F.col("b").alias("hub")).join(
-            labels, F.col("key") == F.col("node"), "left").select(
-            "bucket", "key", "hub", F.coalesce("label", "key").alias("part"))
-        split = marked.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y"))
-        return materialise(marked.join(split.where("x <> y").select("bucket"), "bucket"), "open")
-
-    # Second star, around another member of the bucket.
-    rest = unsettled()
-    hubs = rest.where("key <> hub").groupBy("bucket").agg(
-        F.min_by(F.struct("key", "part"), F.xxhash64("key", "bucket")).alias("h"))
-    pairs = rest.join(hubs, "bucket").where(
-        (F.col("part") != F.col("h.part")) & (F.col("key") != F.col("hub"))).select(
-        F.col("key").alias("a"), F.col("h.key").alias("b"))
-    links = links.unionByName(verified(pairs, "links_2"))
-
-    # The rest: all pairs of different components that no hub was part of.
-    rest = unsettled().where("key <> hub")
-    other = rest.select("bucket", F.col("key").alias("other"), F.col("part").alias("other_part"))
-    pairs = rest.join(other, "bucket").where("part <> other_part AND key > other").select(
-        F.col("key").alias("a"), F.col("other").alias("b"))
-    return links.unionByName(verified(pairs, "links_3"))
+    members = signed.select("key", "n_shingles", F.explode("bands").alias("bucket"))
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialise(members.join(sizes, "bucket"), "shared")
+
+    # The star of each bucket, around the member that meets most texts.
+    central = shared.groupBy("key").agg(F.sum("n").alias("meets"))
+    hubs = materialise(shared.select("bucket", "key").join(central, "key").groupBy("bucket").agg(
+        F.max(F.struct("meets", "key")).getField("key").alias("b")), "hubs")
+    stars = materialise(shared.join(hubs, "bucket").where("key <> b").select(
+        F.col("key").alias("a"), "b").distinct(), "stars")
+    links = verified(stars, signed, bodies, settings)
+
+    # Buckets of several components, by the component of their hub.
+    labels = components(links)
+
+    def part_of(df: DataFrame, key: str, name: str) -> DataFrame:
+        return df.join(labels, F.col(key) == F.col("node"), "left").withColumn(
+            name, F.coalesce("label", key)).drop("node", "label")
+
+    marked = part_of(shared.select("bucket", "key", "n_shingles"), "key", "part")
+    mixed = marked.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y"))
+    groups = part_of(hubs.join(mixed.where("x <> y"), "bucket").select("bucket", "b"), "b", "family")
+    rest = materialise(marked.join(groups.select("bucket", "family"), "bucket").select(
+        "family", "key", "part", "n_shingles").distinct(), "rest")
+    return links.unionByName(compare_blocks(rest, bodies, settings))
+
+
+def wanted_texts(keys: DataFrame, bodies: DataFrame, name: str) -> DataFrame:
+    """key, body of the texts asked for, one row each. Keys grow with the corpus: never broadcast."""
+    wanted = bodies.join(keys.distinct().hint("merge"), "key", "left_semi")
+    return materialise(wanted.dropDuplicates(["key"]), name)
+
+
+def verified(pairs: DataFrame, signed: DataFrame, bodies: DataFrame, settings: Settings) -> DataFrame:
+    """The similar ones among pairs (a, b), by registers first and then by their texts."""
+    same = F.aggregate(F.zip_with("ra", "rb", lambda x, y: (x == y).cast("int")), F.lit(0),
+                       lambda s, x: s + x)
+    least = (settings.similarity - settings.slack) * settings.registers
+    near = pairs.join(
+        signed.select(F.col("key").alias("a"), F.col("registers").alias("ra")), "a").join(
+        signed.select(F.col("key").alias("b"), F.col("registers").alias("rb")), "b").where(
+        same >= least).select("a", "b")
+    near = materialise(near, "near")
+    texts = wanted_texts(near.select(F.col("a").alias("key")).union(near.select("b")), bodies, "texts")
+    both = near.join(texts.select(F.col("key").alias("a"), F.col("body").alias("ta")), "a").join(
+        texts.select(F.col("key").alias("b"), F.col("body").alias("tb")), "b")
+    return materialise(similarities(both, "ta", "tb").where(
+        F.col("similarity") >= settings.similarity).select("a", "b", "similarity"), "links")
+
+
+def compare_blocks(rest: DataFrame, bodies: DataFrame, settings: Settings) -> DataFrame:
+    """Links between different parts of each family of rest (family, key, part, n_shingles)."""
+    def fill(batch: pa.RecordBatch) -> list[pa.Array]:
+        h, n, text = counted(*shingles(batch.column("body").to_pylist()))
+        cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
+        spans = list(zip(cut, cut[1:], strict=False))
+        return [pa.array([h[a:b].astype("<u8").tobytes() for a, b in spans], pa.binary()),
+                pa.array([b"" if (n[a:b] == 1).all() else n[a:b].astype("<u4").tobytes()
+                          for a, b in spans], pa.binary())]
+
+    texts = wanted_texts(rest.select("key"), bodies, "texts")
+    hashed = add_columns(texts, [T.StructField("shingles", T.BinaryType()),
+                                 T.StructField("weights", T.BinaryType())], "body", fill).drop("body")
+    sizes = rest.groupBy("family").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / settings.block, F.sum("n_shingles") / settings.block_shingles)
+    ).cast("int").alias("blocks"))
+    packed = rest.drop("n_shingles").join(sizes, "family").join(hashed, "key").groupBy(
+        "family", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
+    ).agg(F.collect_list(F.struct("key", "part", "shingles", "weights")).alias("members"))
+    packed = materialise(packed, "packed")
+    left = packed.select("family", "block", F.explode(F.sequence(
+        "block", F.col("blocks") - 1)).alias("other"), F.col("members").alias("left"))
+    right = packed.select("family", F.explode(F.sequence(F.lit(0), "block")).alias("low"),
+                          F.col("block").alias("high"), F.col("members").alias("right"))
+    pairs = left.join(right, (left["family"] == right["family"]) & (F.col("block") == F.col("low"))
+                      & (F.col("other") == F.col("high"))).select("left", "right")
+    limit_batches(rest.sparkSession, 4)
+
+    def members(column) -> tuple:
+        rows = column.flatten()
+        keys, parts, hashes, weights = (
+            rows.field(c).to_pylist() for c in ("key", "part", "shingles", "weights"))
+        sets = []
+        for h, w in zip(hashes, weights, strict=True):
+            x = np.frombuffer(h, "<u8")
+            sets.append((x, np.frombuffer(w, "<u4").astype(np.int64) if w else np.ones(len(x), int)))
+        return keys, parts, sets
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                out = list(block_links(*(members(batch.column(c).slice(i, 1))
+                                         for c in ("left", "right")), settings.similarity))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[k] for x in out], kind) for k, kind in enumerate(
+                        (pa.binary(), pa.binary(), pa.float64()))], ["a", "b", "similarity"])
+
+    return materialise(pairs.mapInArrow(run, "a binary, b binary, similarity double"), "links")
+
+
+def block_links(left: tuple, right: tuple, similarity: float, columns: int = 8192):
+    """Links between different parts of two blocks of members (keys, parts, sets).
+
+    The mass that a text has on shingles of the other bounds their similarity from above; for texts
+    without repeated shingles common counts give it exactly. A part that has met another is one
+    with it from then on.
+    """
+    keys, parts, sets = ([*a, *b] for a, b in zip(left, right, strict=True))
+    n, cut = len(keys), len(left[0])
+    text = np.repeat(np.arange(n), [len(h) for h, _ in sets])
+    _, column, times = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True,
+                                 return_counts=True)
+    share = np.concatenate([w / w.sum() for _, w in sets]).astype(np.float32)
+    several = times[column] > 1  # a shingle of one text is common to none
+    _, column = np.unique(column[several], return_inverse=True)
+    text, share = text[several], share[several]
+    common, mass_a, mass_b = (np.zeros((cut, n - cut), np.float32) for _ in range(3))
+    order = np.argsort(column, kind="stable")
+    for start in range(0, int(column.max(initial=-1)) + 1, columns):
+        a, b = np.searchsorted(column[order], (start, start + columns))
+        at = order[a:b]
+        held, weighed = (np.zeros((n, columns), np.float32) for _ in range(2))
+        held[text[at], column[at] - start] = 1
+        weighed[text[at], column[at] - start] = share[at]
+        common += held[:cut] @ held[cut:].T
+        mass_a += weighed[:cut] @ held[cut:].T
+        mass_b += held[:cut] @ weighed[cut:].T
+    sizes = np.array([len(h) for h, _ in sets], np.float32)
+    plain = np.array([bool((w == 1).all()) for _, w in sets])
+    exact = common / np.maximum(sizes[:cut, None] + sizes[None, cut:] - common, 1)
+    both = plain[:cut, None] & plain[None, cut:]
+    bound = np.where(both, exact, np.minimum(mass_a, mass_b)) + 1e-4
+    number = {p: k for k, p in enumerate(dict.fromkeys(parts))}
+    label = np.array([number[p] for p in parts])
+    i, j = np.nonzero((bound >= similarity) & (label[:cut, None] != label[None, cut:]))
+    met: dict[bytes, bytes] = {}
+
+    def root(part: bytes) -> bytes:
+        while part in met:
+            part = met[part]
+        return part
+
+    for x, y in zip(i.tolist(), (j + cut).tolist(), strict=True):
+        one, two = root(parts[x]), root(parts[y])
+        if one != two:
+            value = probability_jaccard(sets[x], sets[y])
+            if value >= similarity:
+                met[one] = two
+                yield keys[x], keys[y], value
 
 
 def classes(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> DataFrame:
