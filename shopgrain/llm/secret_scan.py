@@ -19,6 +19,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopgrain.llm.frames import bind
 from shopgrain.session import materialise
 
 MAX_STRINGS = 64
@@ -122,13 +123,13 @@ def build_index(texts: DataFrame, text: Column, rules: tuple[Rule, ...]) -> Data
     """gram, text_key: the postings of all trigrams the rules ask for, and of rules without any."""
     queries = {r: trigram_query(r.regex) for r in rules}
     grams = sorted(set().union(*(g for q in queries.values() if q for g in q)))
-    lower = F.lower(text)
-    hits = [F.when(F.contains(lower, F.lit(g)), F.lit(g)) for g in grams]
-    hits += [F.when(text.rlike(r.test or r.regex), F.lit(f"rule:{r.kind}"))
+    scans = [F.when(text.rlike(r.test or r.regex), F.lit(f"rule:{r.kind}"))
              for r, q in queries.items() if q is None]
     found = texts.where(text.isNotNull()).select(
-        F.sha2(text, 256).alias("text_key"), F.array_compact(F.array(*hits)).alias("grams"))
-    return found.select("text_key", F.explode("grams").alias("gram"))
+        F.sha2(text, 256).alias("text_key"), F.array_compact(F.array(*scans)).alias("scans"),
+        bind(F.lower(text), lambda lower: F.filter(
+            F.array(*map(F.lit, grams)), lambda g: F.contains(lower, g))).alias("held"))
+    return found.select("text_key", F.explode(F.concat("held", "scans")).alias("gram"))
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
