@@ -298,7 +298,11 @@ def passages(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def labelled(df: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic") -> DataFrame:
-    """The texts of learning rows with their labels; of several labels of an id the largest."""
+    """The texts of learning rows with their labels; of several labels of an id the largest.
+
+    Labels grow with the corpus, so the join is a shuffle at every size.
+    """
     marks = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).alias("toxic")).where("toxic IS NOT NULL")
-    return df.where(learn).select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")
+    return df.where(learn).select("doc_id", "text").join(
+        marks.hint("merge"), "doc_id").select("text", "toxic")
