@@ -124,9 +124,10 @@ def dual_search(queries: Block, data: Block, k: int, floor: np.ndarray) -> list[
     """(query id, id, score): the k best of the data block for each query, by score and then id.
 
     floor is a score each query has k answers of elsewhere, or the smallest number; answers below it
-    are left out. A query's own id never answers it.
+    are left out. A query's own id never answers it, and an id with several vectors answers once.
     """
     n = len(queries.ids)
+    repeats = len(np.unique(data.ids)) < len(data.ids)
     best_score = np.full((n, k), NONE)
     best_id = np.full((n, k), np.iinfo(np.int64).max)
     worst = floor.astype(np.float64).copy()
@@ -146,6 +147,13 @@ def dual_search(queries: Block, data: Block, k: int, floor: np.ndarray) -> list[
         ids = np.where(own, np.iinfo(np.int64).max, ids)
         all_s = np.concatenate([best_score[rows], s], 1)
         all_i = np.concatenate([best_id[rows], ids], 1)
+        if repeats:  # of one id only the best score is in the race
+            order = np.lexsort((-all_s, all_i), 1)
+            all_s, all_i = (np.take_along_axis(x, order, 1) for x in (all_s, all_i))
+            again = np.zeros(all_s.shape, bool)
+            again[:, 1:] = all_i[:, 1:] == all_i[:, :-1]
+            all_s = np.where(again, NONE, all_s)
+            all_i = np.where(again, np.iinfo(np.int64).max, all_i)
         if all_s.shape[1] > 4 * k:  # ties of the k-th score all stay in the race
             kth = -np.partition(-all_s, k - 1, 1)[:, k - 1:k]
             width = int((all_s >= kth).sum(1).max())
@@ -245,10 +253,11 @@ def top_k(
     """
     def clean(df: DataFrame) -> DataFrame:
         return df.where(F.col(vec_id).isNotNull() & usable(vector, scale)).select(
-            F.col(vec_id).cast("bigint").alias("id"), whole_components(vector, scale).alias("v"))
+            F.col(vec_id).cast("bigint").alias("id"), whole_components(vector, scale).alias("v")
+        ).distinct()
 
     spark = vectors.sparkSession
-    found = clean(vectors)
+    found = materialise(clean(vectors), "vectors")
     drawn = bounded_sample(found, F.struct("id", "v"), pivot_sample).select("v").toArrow()
     rows = drawn.column("v").to_pylist()
     width = max(set(map(len, rows)), key=list(map(len, rows)).count) if rows else 1
@@ -307,8 +316,9 @@ def top_k(
     ranked = pairs.withColumn("r", F.row_number().over(by_bound))
     first = search(ranked.where("r = 1"), None)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    in_block = Window.partitionBy("qb", "query_id").orderBy(F.desc("score"), "vec_id")
     kth = first.groupBy("qb", "query_id", "vec_id").agg(F.max("score").alias("score")).withColumn(
-        "rank", F.row_number().over(best)).where(F.col("rank") == k)
+        "rank", F.row_number().over(in_block)).where(F.col("rank") == k)
     floors = materialise(kth.groupBy("qb").agg(F.map_from_entries(F.collect_list(
         F.struct("query_id", "score"))).alias("floors"), F.min("score").alias("worst"),
         F.count(F.lit(1)).alias("full")), "floors")

@@ -59,3 +59,17 @@ def test_odd_rows(spark):
     assert answers[20] == [(0, -one), (1, -one), (2, -one)]
     assert K.top_k(df.limit(0), df.limit(0)).count() == 0
     assert K.top_k(df, df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [4, 1000])
+def test_repeated_rows_and_ids_of_several_vectors(spark, block_rows):
+    rng = np.random.default_rng(9)
+    points, k = rng.integers(-20, 20, (90, 3)), 5
+    ids = np.append(np.arange(60), np.arange(30))  # half of the ids have two vectors
+    rows = [(int(i), [float(v) for v in p]) for i, p in zip(ids, points, strict=True)] * k
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = K.top_k(df, df.where("vec_id % 10 = 0"), k=k, scale=1, pivots=4, block_rows=block_rows,
+                  query_rows=2).collect()
+    for q in range(0, 60, 10):
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [(v, s) for _, v, s in mine] == brute(ids.tolist(), points, q, k)
