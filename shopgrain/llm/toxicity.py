@@ -3,7 +3,7 @@
 Learning counts in how many toxic and in how many other texts each feature occurs, over all labelled
 learning rows; the features of a word are the word and its beginnings, so that unseen inflections
 share what their stem has shown. Log-odds under an informative Dirichlet prior (the pooled
-frequencies) score the significant features. A word has the log-odds of its most significant
+frequencies) score the features that a likelihood-ratio test finds significant. A word has the log-odds of its most significant
 feature, less a small drift, so that an average text loses score.
 
 In each text one linear scan finds all maximal scoring segments. A segment's significance follows
@@ -163,13 +163,27 @@ def count_presence(df: DataFrame, text: str, toxic: str) -> DataFrame:
 
 
 def log_odds(counts: DataFrame, n_toxic: int, n_other: int, prior: float) -> DataFrame:
-    """counts with delta, the log-odds under a Dirichlet prior of pooled frequencies, and its z."""
+    """counts with delta, the log-odds under a Dirichlet prior of pooled frequencies, and its z.
+
+    z is the signed root of the likelihood ratio of presence in toxic and in other texts. It needs
+    no variance, so that a feature that one side never has is judged by the counts of the other.
+    """
     a, b = F.col("toxic_texts"), F.col("other_texts")
-    alpha = (a + b) * (prior / (n_toxic + n_other)) + 0.01
-    a, b = a + alpha, b + alpha
-    delta = (F.log(a / F.greatest(n_toxic + prior - a, F.lit(0.5)))
-             - F.log(b / F.greatest(n_other + prior - b, F.lit(0.5))))
-    return counts.withColumn("delta", delta).withColumn("z", delta / F.sqrt(1 / a + 1 / b))
+    n = n_toxic + n_other
+
+    def term(seen: Column, total: Column, texts: int) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * n / (total * texts))).otherwise(0.0)
+
+    has, lacks = a + b, n - a - b
+    ratio = (term(a, has, n_toxic) + term(b, has, n_other)
+             + term(n_toxic - a, lacks, n_toxic) + term(n_other - b, lacks, n_other))
+    side = F.when(a / n_toxic >= b / n_other, 1.0).otherwise(-1.0)
+    alpha = has * (prior / n) + 0.01
+    x, y = a + alpha, b + alpha
+    delta = (F.log(x / F.greatest(n_toxic + prior - x, F.lit(0.5)))
+             - F.log(y / F.greatest(n_other + prior - y, F.lit(0.5))))
+    return counts.withColumn("delta", delta).withColumn(
+        "z", side * F.sqrt(2 * F.greatest(ratio, F.lit(0.0))))
 
 
 def decay(scores: np.ndarray, weights: np.ndarray) -> float:

@@ -62,3 +62,16 @@ def test_labels_of_one_id(spark):
     docs = frame(spark, [(1, "a", None, None, 0), (None, "b", None, None, 0), (2, "c", None, None, 0)])
     labels = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (2, None)], "doc_id bigint, toxic int")
     assert [tuple(r) for r in X.labelled(docs, labels, F.lit(True)).collect()] == [("a", 1)]
+
+
+def test_words_only_in_toxic_texts(spark):
+    rows = [(f"plain{i % 50} thing{i % 7}" + (f" slur{i // 12}" if i < 120 else ""), int(i < 120))
+            for i in range(1200)]
+    model = X.train(spark.createDataFrame(rows, "text string, toxic int"))
+    words = [f"slur{i}" for i in range(10)] + [f"plain{i}" for i in range(50)]
+    features = X.Features()
+    rows = features.of(words)
+    hashes = features.hashes[rows][:, 0]
+    known = dict(zip(model.hashes.tolist(), model.odds.tolist(), strict=True))
+    assert all(known.get(h, 0) > 0 for h in hashes[:10].tolist())
+    assert not any(h in known for h in hashes[10:].tolist())
