@@ -137,6 +137,36 @@ SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPAC
 FROM documents"""
 
 
+SHARDING = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+b AS (
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+    list_transform(list_filter(string_split(regexp_replace(hex(encode(coalesce(text, ''))),
+      '(..)', '\1 ', 'g'), ' '), lambda x: x <> ''), lambda x: ('0x' || x)::BIGINT) AS bytes
+  FROM documents),
+d AS (
+  SELECT doc_id, source, size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, bytes),
+    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]))) AS text_crc32
+  FROM b, crc),
+r AS (
+  SELECT *, count(*) OVER (PARTITION BY source) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY ('0x' || left(md5(concat_ws('|', 'shard',
+      doc_id, source, size, text_crc32)), 15))::BIGINT, doc_id NULLS FIRST, size, text_crc32) - 1
+      AS i,
+    ('0x' || left(md5(concat_ws('|', 'shard', 'phase', source)), 15))::BIGINT::DOUBLE
+      / pow(2, 60) AS phase
+  FROM d),
+p AS (
+  SELECT *, count(*) OVER () AS total,
+    row_number() OVER (ORDER BY (i + phase) / n, source NULLS FIRST) - 1 AS place FROM r)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law,
+  (place * 16 // total)::INTEGER AS shard, NULL::INTEGER AS grown_shard, source,
+  row_number() OVER (PARTITION BY place * 16 // total ORDER BY place) - 1 AS slot
+FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secrets": _secrets(),
@@ -144,4 +174,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": _mixing(),
         "op7_quality": QUALITY,
         "op8_token_counts": TOKEN_COUNTS,
+        "op12_sharding": SHARDING,
     }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import (
-    bpe, language, mixing, near_dedup, passages, quality, secret_scan, token_files, topk, toxicity,
+    bpe, language, mixing, near_dedup, passages, quality, secret_scan, sharding, token_files, topk, toxicity,
 )
 from shopgrain.llm.frames import documents, fold
 
@@ -101,6 +101,17 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By count (`rows`): equal texts may lie in several shards, a group can exceed a shard."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = documents(spark, sf_dir, "doc_id", "text", "source").select(
+        "doc_id", "source", (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"))
+    found = sharding.interleave(docs, "source", 16)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
+                        "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
@@ -113,4 +124,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_toxicity": op9_toxicity,
         "op10_passages": op10_passages,
+        "op12_sharding": op12_sharding,
     }
