@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import (
-    bpe, language, mixing, near_dedup, passages, quality, secret_scan, sharding, token_files, topk, toxicity,
+    alignment, bpe, language, mixing, near_dedup, passages, quality, secret_scan, sharding, token_files, topk, toxicity,
 )
 from shopgrain.llm.frames import documents, fold
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -112,6 +113,13 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(
+        documents(spark, sf_dir, "doc_id", "text"), tokenizer_path(), tokenizer_path(PIECES),
+        keep=["doc_id"], store=lambda g: F.when(g == "", "").otherwise(F.sha2(g, 256)))
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secrets": op1_secrets,
@@ -125,4 +133,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_passages": op10_passages,
         "op12_sharding": op12_sharding,
+        "op13_alignment": op13_alignment,
     }
