@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from shopgrain.session import materialise
 
 HASH_BITS = 60
-RANGE_ROWS = 1 << 16  # rows that one range has, about
+RANGE_ROWS = 1 << 13  # rows that one range has, about
 COPIES = 1 << 12  # equal rows that are spread out at once
 
 
