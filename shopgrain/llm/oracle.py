@@ -137,6 +137,29 @@ SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPAC
 FROM documents"""
 
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+    list_dot_product(a.c, d.c)::BIGINT AS score
+  FROM v a JOIN v d ON a.vec_id % 100 = 0 AND a.vec_id <> d.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (
+      PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10"""
+
+
 SHARDING = r"""
 WITH crc AS (
   SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
@@ -174,5 +197,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": _mixing(),
         "op7_quality": QUALITY,
         "op8_token_counts": TOKEN_COUNTS,
+        "op11_hard_negatives": HARD_NEGATIVES,
         "op12_sharding": SHARDING,
     }

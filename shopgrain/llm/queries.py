@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import (
-    alignment, bpe, language, mixing, near_dedup, passages, quality, secret_scan, sharding, token_files, topk, toxicity,
+    alignment, bpe, hard_negatives, language, mixing, near_dedup, passages, quality, secret_scan, sharding, token_files, topk, toxicity,
 )
 from shopgrain.llm.frames import documents, fold
 
@@ -102,6 +102,13 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(
+            F.col("label")).alias("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By count (`rows`): equal texts may lie in several shards, a group can exceed a shard."""
     text = F.coalesce("text", F.lit("")).cast("binary")
@@ -132,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_toxicity": op9_toxicity,
         "op10_passages": op10_passages,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_sharding": op12_sharding,
         "op13_alignment": op13_alignment,
     }
