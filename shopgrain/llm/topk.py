@@ -1,17 +1,18 @@
 """Exact top-k inner products by dual-tree search over cover trees.
 
 Vectors and queries are grouped around pivots into blocks of bounded size, hot pivots into several,
-and each block gets a cover tree: a node's children are centred on points of the node, a level's
-covering radius is half its parent's, and points of one place share a node. A query block and a
-data block are searched together: a pair of nodes can be skipped where
+and each block gets a cover tree: the children of a node are centred on points of the node, a
+level's covering radius is half its parent's, and the tree goes down to single places. A query
+block and a data block are searched together: a pair of nodes can be skipped where
 
     <q, x>  <=  <cq, cx> + |cq| rx + |cx| rq + rq rx
 
 lies below the worst k-th score that the queries of the node have so far. Between blocks the same
-bound works on their roots: every query block is first searched in the data block of the largest
-bound, and only data blocks whose bound reaches the worst k-th score found there are searched next.
+bound works level by level: each query block is first searched in a data block of its own pivot,
+which gives every query a floor; then pairs of pivots, of query blocks and pivots, and of blocks
+are formed one from the other, and only those whose bound reaches the worst floor go on.
 
-Scores are whole numbers: products of components floor(scale * x), exact in 64-bit arithmetic.
+Scores are whole numbers: products of components floor(scale * x), exact as longs.
 """
 
 from __future__ import annotations
@@ -22,66 +23,63 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopgrain.llm.frames import bounded_sample, limit_batches
+from shopgrain.llm.hard_negatives import exact_products, finite_whole
 from shopgrain.session import materialise
 
-LEAF = 24
-NONE = -(1 << 62)  # below any score
-LIMIT = 1 << 24  # largest component: sums of up to 2^14 products stay within 63 bits
+NONE = np.iinfo(np.int64).min  # below any score
+SEEDS = 256  # centres that are tried at once
+AT_ONCE = 64  # query blocks that one task has beside a data block
 
 
-def whole_components(vector: str, scale: int) -> Column:
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
+def _distances(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    return np.sqrt(((x - centre) ** 2).sum(1))
 
 
-def usable(vector: str, scale: int) -> Column:
-    """Vectors without NULL, infinite or too large components, and not empty."""
-    bound = float(LIMIT) / scale
-    return (F.col(vector).isNotNull() & (F.size(vector) > 0) & F.coalesce(F.forall(
-        vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
-        & (F.abs(x.cast("double")) < bound)), F.lit(False)))
+def _covered(x: np.ndarray, cover: float) -> list[np.ndarray]:
+    """The points in parts, each within about `cover` of its first, which no earlier part covers."""
+    left, parts = np.arange(len(x)), []
+    norms = (x**2).sum(1)
+    while len(left):
+        seeds, away = left[:SEEDS], np.ones(len(left), bool)
+        near = norms[seeds, None] + norms[left] - 2 * x[seeds] @ x[left].T <= cover**2
+        for i, seed in enumerate(seeds):
+            if away[i]:
+                mine = away & near[i]
+                mine[i] = False
+                parts.append(np.append(seed, left[mine]))
+                away[mine] = away[i] = False
+        left = left[away]
+    return parts
 
 
 def cover_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of the points and the nodes (first, end, centre, radius, child, n_children).
+    """The order of the points and the nodes (first, end, radius, child, n_children).
 
-    Nodes are listed level by level; the points of a node are neighbours in the order, and a
-    centre is a place in that order.
+    Nodes are listed level by level; the points of a node are neighbours in the order, the first of
+    them is its centre, and a node without children is a single place.
     """
     x = points.astype(np.float64)
     order = np.arange(len(x))
-    nodes: list[list[float]] = []
-
-    def place(first: int, end: int) -> list[float]:
-        """The node of order[first:end], whose centre is its first point."""
-        d = np.sqrt(((x[order[first:end]] - x[order[first]]) ** 2).sum(1))
-        return [first, end, first, float(d.max()), 0, 0]
-
-    nodes.append(place(0, len(x)))
+    nodes = [[0, len(x), float(_distances(x, x[0]).max()), 0, 0]]
     at = 0
     while at < len(nodes):
-        first, end, _, radius, *_ = nodes[at]
-        first, end = int(first), int(end)
-        if end - first > LEAF and radius > 0:
-            members = order[first:end]
-            left = np.ones(len(members), bool)
-            parts, cover = [], radius / 2
-            while left.any():  # the next point that no child covers becomes a child's centre
-                seed = int(left.argmax())
-                d = np.sqrt(((x[members] - x[members[seed]]) ** 2).sum(1))
-                mine = left & (d <= cover)
-                mine[seed] = False
-                parts.append(np.concatenate([[seed], np.flatnonzero(mine)]))
-                left[mine] = False
-                left[seed] = False
-            if len(parts) < len(members) // 2:
-                order[first:end] = members[np.concatenate(parts)]
-                nodes[at][4:] = [len(nodes), len(parts)]
-                for part in parts:
-                    nodes.append(place(first, first + len(part)))
-                    first += len(part)
-            # Else hardly any two points are near: the node stays a leaf and is scored as a whole.
+        first, end, radius = nodes[at][:3]
+        if radius > 0:
+            members = order[first:end].copy()
+            parts = _covered(x[members], radius / 2)
+            if len(parts) < 2:  # rounding left the node whole: part it into its places
+                _, at_place = np.unique(x[members], axis=0, return_inverse=True)
+                at_place = at_place.reshape(-1)
+                parts = [np.flatnonzero(at_place == k) for k in range(at_place.max() + 1)]
+            nodes[at][3:] = [len(nodes), len(parts)]
+            for part in parts:
+                own = members[part]
+                order[first:first + len(own)] = own
+                nodes.append([first, first + len(own), float(_distances(x[own], x[own[0]]).max()),
+                              0, 0])
+                first += len(own)
         at += 1
-    return order, np.array(nodes)
+    return order, np.array(nodes, np.float64)
 
 
 class Block:
@@ -89,107 +87,166 @@ class Block:
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, nodes: np.ndarray):
         self.ids, self.points, self.nodes = ids, points, nodes
-        self.first, self.end, self.centre = nodes[:, :3].astype(np.int64).T
-        self.radius = nodes[:, 3]
-        self.child, self.children = nodes[:, 4:].astype(np.int64).T
-        self.floats = points.astype(np.float64)
-        self.norms = np.sqrt((self.floats[self.centre] ** 2).sum(1))
+        self.first, self.end = nodes[:, :2].astype(np.int64).T
+        self.radius = nodes[:, 2]
+        self.child, self.children = nodes[:, 3:].astype(np.int64).T
+        self.centres = points[self.first]
+        self.norms = np.sqrt((self.centres**2).sum(1))
+        self.largest = float(np.abs(points).max(initial=0))
+        self.unique = len(np.unique(ids)) == len(ids)
 
     @classmethod
     def build(cls, ids: np.ndarray, points: np.ndarray) -> Block:
         by_id = np.argsort(ids, kind="stable")
         order, nodes = cover_tree(points[by_id])
-        return cls(ids[by_id][order], points[by_id][order], nodes)
+        ids, points = ids[by_id][order], points[by_id][order].astype(np.float64)
+        for first, end, _, _, children in nodes[nodes[:, 4] == 0].astype(np.int64):
+            ids[first:end].sort()  # the points of a place are equal
+        return cls(ids, points, nodes)
 
     def pack(self) -> list[bytes]:
-        return [self.ids.astype("<i8").tobytes(), self.points.astype("<i4").tobytes(),
+        kind = "<i4" if self.largest < 2**31 else "<f8"
+        return [self.ids.astype("<i8").tobytes(), self.points.astype(kind).tobytes(),
                 self.nodes.astype("<f8").tobytes()]
 
     @classmethod
-    def unpack(cls, ids: bytes, points: bytes, nodes: bytes) -> Block:
+    def unpack(cls, ids: bytes, points: bytes, nodes: bytes, dims: int) -> Block:
         ids_ = np.frombuffer(ids, "<i8")
-        return cls(ids_, np.frombuffer(points, "<i4").reshape(len(ids_), -1).astype(np.int64),
-                   np.frombuffer(nodes, "<f8").reshape(-1, 6))
-
+        kind = "<i4" if len(points) == 4 * dims * len(ids_) else "<f8"
+        return cls(ids_, np.frombuffer(points, kind).reshape(len(ids_), dims).astype(np.float64),
+                   np.frombuffer(nodes, "<f8").reshape(-1, 5))
 
-def exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products of whole vectors: by floating point where that is exact, else by integers."""
-    largest = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
-    if largest < 2.0**53:
-        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return q @ x.T
 
+class DualSearch:
+    """The k best of a data block for each query of a block, by score and then id.
 
-def dual_search(queries: Block, data: Block, k: int, floor: np.ndarray) -> list[tuple]:
-    """(query id, id, score): the k best of the data block for each query, by score and then id.
-
-    floor is a score each query has k answers of elsewhere, or the smallest number; answers below it
-    are left out. A query's own id never answers it, and an id with several vectors answers once.
+    floor is a score each query has k answers of elsewhere, or NONE; answers below it are left out.
+    A query's own id never answers it, and an id with several vectors answers once, with its best.
+    `products` counts the inner products that were taken.
     """
-    n = len(queries.ids)
-    repeats = len(np.unique(data.ids)) < len(data.ids)
-    best_score = np.full((n, k), NONE)
-    best_id = np.full((n, k), np.iinfo(np.int64).max)
-    worst = floor.astype(np.float64).copy()
-
-    def bound(i: int, j: np.ndarray) -> np.ndarray:
-        rq, rx = queries.radius[i], data.radius[j]
-        middle = data.floats[data.centre[j]] @ queries.floats[queries.centre[i]]
-        total = middle + queries.norms[i] * rx + data.norms[j] * rq + rq * rx
-        return total + 1e-9 * np.abs(total) + 1e-6
-
-    def score(i: int, j: int) -> None:
-        rows, cols = slice(queries.first[i], queries.end[i]), slice(data.first[j], data.end[j])
-        s = exact_products(queries.points[rows], data.points[cols])
-        ids = np.broadcast_to(data.ids[cols], s.shape)
-        own = ids == queries.ids[rows][:, None]
-        s = np.where(own, NONE, s)
-        ids = np.where(own, np.iinfo(np.int64).max, ids)
-        all_s = np.concatenate([best_score[rows], s], 1)
-        all_i = np.concatenate([best_id[rows], ids], 1)
-        if repeats:  # of one id only the best score is in the race
-            order = np.lexsort((-all_s, all_i), 1)
-            all_s, all_i = (np.take_along_axis(x, order, 1) for x in (all_s, all_i))
-            again = np.zeros(all_s.shape, bool)
-            again[:, 1:] = all_i[:, 1:] == all_i[:, :-1]
-            all_s = np.where(again, NONE, all_s)
-            all_i = np.where(again, np.iinfo(np.int64).max, all_i)
-        if all_s.shape[1] > 4 * k:  # ties of the k-th score all stay in the race
-            kth = -np.partition(-all_s, k - 1, 1)[:, k - 1:k]
-            width = int((all_s >= kth).sum(1).max())
-            take = np.argpartition(-all_s, min(width, all_s.shape[1] - 1), 1)[:, :width]
-            keep = np.take_along_axis(all_s, take, 1) >= kth
-            all_i = np.where(keep, np.take_along_axis(all_i, take, 1), np.iinfo(np.int64).max)
-            all_s = np.where(keep, np.take_along_axis(all_s, take, 1), NONE)
-        order = np.lexsort((all_i, -all_s), 1)[:, :k]
-        best_score[rows] = np.take_along_axis(all_s, order, 1)
-        best_id[rows] = np.take_along_axis(all_i, order, 1)
-        worst[rows] = np.maximum(worst[rows], best_score[rows][:, -1].astype(np.float64))
-
-    stack = [(0, 0)]
-    while stack:
-        i, j = stack.pop()
-        lowest = worst[queries.first[i]:queries.end[i]].min()
-        if bound(i, np.array([j]))[0] < lowest:
-            continue
-        split_q, split_x = queries.children[i] > 0, data.children[j] > 0
-        if not split_q and not split_x:
-            score(i, j)
-        elif split_x and (not split_q or data.radius[j] >= queries.radius[i]):
-            below = np.arange(data.child[j], data.child[j] + data.children[j])
-            b = bound(i, below)
-            # The most promising child is searched first, so it goes onto the stack last.
-            stack += [(i, int(c)) for c in below[np.argsort(b)] if b[c - below[0]] >= lowest]
+
+    def __init__(self, queries: Block, data: Block, k: int, floor: np.ndarray):
+        self.q, self.x, self.k, self.products = queries, data, k, 0
+        n = len(queries.ids)
+        self.score = [np.empty(0, np.int64)] * n
+        self.id = [np.empty(0, np.int64)] * n
+        self.floor, self.worst = floor, floor.astype(np.float64)
+        size = queries.largest * data.largest * queries.points.shape[1]
+        if size < 2.0**63:
+            self.exact = size < 2.0**53
+            self._visit(0, np.array([0]), self._products(np.array([0]), np.array([0]))[0])
+        else:  # only whole numbers of any size tell what is a long
+            found = exact_products(queries.points, data.points)
+            for i in range(n):
+                self._answers(i, found[i], data.ids)
+
+    def _products(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        self.products += len(i) * len(j)
+        return self.q.centres[i] @ self.x.centres[j].T
+
+    def _bound(self, i: int, j: np.ndarray, middle: np.ndarray) -> np.ndarray:
+        norm, rq, rx = self.q.norms[i], self.q.radius[i], self.x.radius[j]
+        slack = 1e-11 * (norm + rq) * (self.x.norms[j] + rx) + 1e-6
+        return middle + norm * rx + self.x.norms[j] * rq + rq * rx + slack
+
+    def _split(self, j: np.ndarray, middle: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """The children of nodes j, and the products of their centres with that of query node i.
+
+        The first child has its parent's centre, whose product is known.
+        """
+        n = self.x.children[j]
+        head = np.cumsum(n) - n
+        below = np.arange(n.sum()) + np.repeat(self.x.child[j] - head, n)
+        fresh = np.ones(len(below), bool)
+        fresh[head] = False
+        out = np.empty(len(below))
+        out[head] = middle
+        out[fresh] = self._products(np.array([i]), below[fresh])[0]
+        return below, out
+
+    def _visit(self, i: int, j: np.ndarray, middle: np.ndarray) -> None:
+        """Search the queries of node i in the nodes j; middle has the products of the centres."""
+        q, x = self.q, self.x
+        if not q.children[i]:
+            for one in range(q.first[i], q.end[i]):
+                self._single(i, one, j, middle)
+            return
+        while True:
+            open_ = self._bound(i, j, middle) >= self.worst[q.first[i]:q.end[i]].min()
+            j, middle = j[open_], middle[open_]
+            large = (x.radius[j] > q.radius[i]) & (x.children[j] > 0)
+            if not large.any():
+                break
+            below, known = self._split(j[large], middle[large], i)
+            j, middle = np.append(j[~large], below), np.append(middle[~large], known)
+        if not len(j):
+            return
+        below = np.arange(q.child[i], q.child[i] + q.children[i])
+        known = np.concatenate([middle[None], self._products(below[1:], j)])
+        for c, row in zip(below, known, strict=True):
+            self._visit(c, j, row)
+
+    def _single(self, i: int, one: int, j: np.ndarray, middle: np.ndarray) -> None:
+        """Search one query, whose place is node i: the nodes of the highest bounds first."""
+        x = self.x
+        while len(j):
+            bound = self._bound(i, j, middle)
+            open_ = bound >= self.worst[one]
+            j, middle, bound = j[open_], middle[open_], bound[open_]
+            place = x.children[j] == 0
+            if place.any():
+                self._places(one, j[place], middle[place])
+                j, middle, bound = j[~place], middle[~place], bound[~place]
+            if not len(j):
+                return
+            top = np.zeros(len(j), bool)
+            top[np.argpartition(-bound, min(self.k, len(j)) - 1)[:self.k]] = True
+            below, known = self._split(j[top], middle[top], i)
+            j, middle = np.append(j[~top], below), np.append(middle[~top], known)
+
+    def _places(self, one: int, j: np.ndarray, middle: np.ndarray) -> None:
+        """Take the points of the places j as answers; of equal points the smallest ids will do."""
+        x = self.x
+        n = np.minimum(x.end[j] - x.first[j], self.k + 1)
+        head = np.cumsum(n) - n
+        at = np.arange(n.sum()) + np.repeat(x.first[j] - head, n)
+        if self.exact:
+            score = np.repeat(middle, n).astype(np.int64)
         else:
-            stack += [(int(c), j) for c in
-                      range(queries.child[i], queries.child[i] + queries.children[i])]
-    found = np.nonzero((best_id != np.iinfo(np.int64).max) & (best_score >= floor[:, None]))
-    return list(zip(queries.ids[found[0]].tolist(), best_id[found].tolist(),
-                    best_score[found].tolist(), strict=True))
+            score = exact_products(self.q.points[one][None], x.points[at])[0]
+        self._answers(one, score, x.ids[at])
+
+    def _answers(self, one: int, score: np.ndarray, ids: np.ndarray) -> None:
+        own = (ids == self.q.ids[one]) | (score < self.floor[one])
+        score, ids = score[~own], ids[~own]
+        if self.x.unique and len(score) > 8 * self.k:  # the k best reach the k-th score
+            kth = np.partition(score, len(score) - self.k)[len(score) - self.k]
+            score, ids = score[score >= kth], ids[score >= kth]
+        score, ids = np.append(self.score[one], score), np.append(self.id[one], ids)
+        order = np.lexsort((ids, -score))
+        score, ids = score[order], ids[order]
+        _, best = np.unique(ids, return_index=True)
+        best = np.sort(best)[:self.k]
+        self.score[one], self.id[one] = score[best], ids[best]
+        if len(best) == self.k:
+            self.worst[one] = max(self.worst[one], float(score[best[-1]]))
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """query id, id and score of all answers."""
+        sizes = [len(s) for s in self.score]
+        return (np.repeat(self.q.ids, sizes), np.concatenate([*self.id, np.empty(0, np.int64)]),
+                np.concatenate([*self.score, np.empty(0, np.int64)]))
+
+
+def matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
 def blocks(vectors: DataFrame, pivots: np.ndarray, rows: int) -> DataFrame:
-    """block, n, dims, centre, radius, ids, points, nodes: packed trees of at most ~2 * rows vectors.
+    """block, pivot, dims, n, centre, radius, and a packed tree of at most ~2 * rows vectors each.
 
     vectors has id and v. A vector joins its nearest pivot; a pivot of many vectors is dealt to as
     many blocks as its count asks for, by a hash of the id.
@@ -201,40 +258,97 @@ def blocks(vectors: DataFrame, pivots: np.ndarray, rows: int) -> DataFrame:
     def nearest(batches):
         p = shared.value.astype(np.float64)
         for batch in batches:
-            lists = batch.column("v").to_pylist()
-            out = np.zeros(len(lists), np.int64)
-            fit = [i for i, x in enumerate(lists) if len(x) == p.shape[1]]
-            if fit and len(p):
-                x = np.array([lists[i] for i in fit], np.float64)
+            column = batch.column("v")
+            dims = column.value_lengths().to_numpy(zero_copy_only=False)
+            out = np.zeros(len(dims), np.int64)
+            fit = np.flatnonzero(dims == p.shape[1])
+            if len(fit) and len(p):
+                x = matrix(column.take(pa.array(fit)), p.shape[1])
                 out[fit] = ((p**2).sum(1) - 2 * x @ p.T).argmin(1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("v"), pa.array(out)], ["id", "v", "pivot"])
+                [batch.column("id"), column, pa.array(out)], ["id", "v", "pivot"])
 
     placed = materialise(vectors.select("id", "v").mapInArrow(
-        nearest, "id bigint, v array<bigint>, pivot bigint"), "placed")
+        nearest, "id bigint, v array<double>, pivot bigint"), "placed")
     placed = placed.withColumn("dims", F.size("v"))
     sizes = placed.groupBy("pivot", "dims").agg(F.ceil(F.count(F.lit(1)) / rows).alias("parts"))
     dealt = placed.join(sizes, ["pivot", "dims"]).withColumn(
         "part", F.pmod(F.xxhash64("id"), F.col("parts")))
 
     def build(table: pa.Table) -> pa.Table:
-        points = np.array(table.column("v").to_pylist(), np.int64)
-        b = Block.build(table.column("id").to_numpy(), points)
+        dims = table.column("dims")[0].as_py()
+        b = Block.build(table.column("id").to_numpy(), matrix(table.column("v"), dims))
         ids, packed, nodes = b.pack()
+        first = {c: table.column(c).slice(0, 1) for c in ("pivot", "dims", "part")}
         return pa.table({
-            "dims": [points.shape[1]], "n": [len(b.ids)],
-            "centre": pa.array([b.floats[b.centre[0]].tolist()], pa.list_(pa.float64())),
+            **first, "n": pa.array([len(b.ids)], pa.int32()),
+            "centre": pa.array([b.centres[0].tolist()], pa.list_(pa.float64())),
             "radius": [float(b.radius[0])], "ids": pa.array([ids], pa.binary()),
             "points": pa.array([packed], pa.binary()), "nodes": pa.array([nodes], pa.binary())})
 
-    kind = ("dims int, n int, centre array<double>, radius double, ids binary, points binary, "
-            "nodes binary")
     built = dealt.groupBy("pivot", "dims", "part").applyInArrow(
-        lambda t: build(t).cast(pa.schema([
-            ("dims", pa.int32()), ("n", pa.int32()), ("centre", pa.list_(pa.float64())),
-            ("radius", pa.float64()), ("ids", pa.binary()), ("points", pa.binary()),
-            ("nodes", pa.binary())])), kind)
-    return materialise(built.withColumn("block", F.xxhash64("ids")), "blocks")
+        build, "pivot bigint, dims int, part bigint, n int, centre array<double>, radius double, "
+        "ids binary, points binary, nodes binary")
+    return materialise(built.withColumn("block", F.concat_ws("-", "dims", "pivot", "part")), "blocks")
+
+
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
+
+
+def _bound(qc: str, qr: str, xc: str, xr: str) -> Column:
+    """The highest product between a ball around qc and one around xc."""
+    norm, other = F.sqrt(_dot(qc, qc)), F.sqrt(_dot(xc, xc))
+    slack = (norm + F.col(qr)) * (other + F.col(xr)) * 1e-11 + 1e-6
+    return _dot(qc, xc) + norm * F.col(xr) + other * F.col(qr) + F.col(qr) * F.col(xr) + slack
+
+
+def _balls(found: DataFrame) -> DataFrame:
+    """dims, pivot, centre, radius: for each pivot a ball that holds all its blocks."""
+    middle = found.groupBy("dims", "pivot").agg(F.min_by("centre", "block").alias("middle"))
+    apart = F.sqrt(F.aggregate(F.zip_with("centre", "middle", lambda s, t: (s - t) * (s - t)),
+                               F.lit(0.0), lambda s, t: s + t))
+    return found.join(middle, ["dims", "pivot"]).groupBy("dims", "pivot").agg(
+        F.any_value("middle").alias("centre"),
+        (F.max(apart + F.col("radius")) * (1 + 1e-12)).alias("radius"))
+
+
+def _searched(pairs: DataFrame, asked: DataFrame, data: DataFrame, floors: DataFrame | None,
+              k: int) -> DataFrame:
+    """qb, query_id, vec_id, score: the answers of pairs of blocks (qb, xb), k a query and pair.
+
+    floors has qb and, per query, a score it has k answers of. A task has a data block and some of
+    the query blocks that are to be searched in it.
+    """
+    sizes = pairs.groupBy("xb").agg(F.ceil(F.count(F.lit(1)) / AT_ONCE).alias("parts"))
+    dealt = pairs.select("qb", "xb").join(sizes, "xb").withColumn(
+        "part", F.pmod(F.xxhash64("qb"), F.col("parts")))
+    body = ["dims", "ids", "points", "nodes"]
+    right = dealt.join(asked.select(F.col("block").alias("qb"), *body), "qb")
+    right = right.join(floors.select("qb", "floors"), "qb", "left") if floors is not None else (
+        right.withColumn("floors", F.lit(None).cast("map<bigint,bigint>")))
+    places = dealt.select(F.col("xb").alias("place"), F.col("part").alias("place_part")).distinct()
+    left = places.join(data.select(F.col("block").alias("place"), *body), "place")
+
+    def run(one: pa.Table, several: pa.Table) -> pa.Table:
+        def block(table: pa.Table, i: int) -> Block:
+            dims, *packed = (table.column(c)[i].as_py() for c in body)
+            return Block.unpack(*packed, dims)
+
+        x, out = block(one, 0), [(np.empty(0, np.int64),) * 3]
+        named: list[str] = []
+        for i in range(len(several)):
+            q = block(several, i)
+            known = dict(several.column("floors")[i].as_py() or [])
+            out.append(DualSearch(q, x, k, np.array([known.get(z, NONE) for z in q.ids.tolist()])
+                                  ).found())
+            named += [several.column("qb")[i].as_py()] * len(out[-1][0])
+        return pa.table([pa.array(named, pa.string()), *[pa.array(np.concatenate(c)) for c in zip(
+            *out, strict=True)]], ["qb", "query_id", "vec_id", "score"])
+
+    return materialise(left.groupBy("place", "place_part").cogroup(
+        right.groupBy("xb", "part")).applyInArrow(
+        run, "qb string, query_id bigint, vec_id bigint, score bigint"), "answers")
 
 
 def top_k(
@@ -246,87 +360,57 @@ def top_k(
 
     A query is compared with all vectors of its length but those of its own id. Ties go to smaller
     ids, rows of one id count once (that of the best score), and a query with fewer candidates has
-    fewer answers. Rows without an id, or with a vector that is NULL, empty, or holds a NULL,
-    non-finite or too large component (2^24 after scaling) take no part. An empty side gives no
-    rows. Pivots are drawn from a sample of about pivot_sample vectors; they decide where
-    vectors are searched, never whether.
+    fewer answers. Rows without an id, or with a vector that is NULL, empty, or holds a NULL or
+    non-finite component (before or after scaling) take no part; a score that is no long fails. An
+    empty side gives no rows. Pivots are drawn from a sample of about pivot_sample vectors; they
+    decide where vectors are searched, never whether.
     """
     def clean(df: DataFrame) -> DataFrame:
-        return df.where(F.col(vec_id).isNotNull() & usable(vector, scale)).select(
-            F.col(vec_id).cast("bigint").alias("id"), whole_components(vector, scale).alias("v")
-        ).distinct()
+        return df.select(F.col(f"`{vec_id}`").cast("bigint").alias("id"), finite_whole(
+            f"`{vector}`", scale).alias("v")).where("id IS NOT NULL AND v IS NOT NULL").distinct()
 
-    spark = vectors.sparkSession
     found = materialise(clean(vectors), "vectors")
     drawn = bounded_sample(found, F.struct("id", "v"), pivot_sample).select("v").toArrow()
     rows = drawn.column("v").to_pylist()
     width = max(set(map(len, rows)), key=list(map(len, rows)).count) if rows else 1
-    points = np.unique(np.array([r for r in rows if len(r) == width], np.int64).reshape(-1, width), axis=0)
+    points = np.unique(np.array([r for r in rows if len(r) == width]).reshape(-1, width), axis=0)
     spread = points[np.linspace(0, len(points) - 1, min(pivots, len(points))).astype(int)] if len(
         points) else points
     data = blocks(found, spread, block_rows)
     asked = blocks(clean(queries), spread, query_rows)
 
-    # The bound of each pair of blocks of one length, on their roots. Blocks are few against rows.
-    q = asked.select(F.col("block").alias("qb"), "dims", F.col("centre").alias("qc"),
-                     F.col("radius").alias("qr"))
-    x = data.select(F.col("block").alias("xb"), "dims", F.col("centre").alias("xc"),
-                    F.col("radius").alias("xr"), F.col("n").alias("xn"))
-
-    def dot(a: str, b: str) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
-
-    limit = (dot("qc", "xc") + F.sqrt(dot("qc", "qc")) * F.col("xr")
-             + F.sqrt(dot("xc", "xc")) * F.col("qr") + F.col("qr") * F.col("xr"))
-    pairs = materialise(q.join(x, "dims").select("qb", "xb", "xn", (
-        limit + F.abs(limit) * 1e-9 + 1e-6).alias("bound")), "block_pairs")
-
-    def search(chosen: DataFrame, floors: DataFrame | None) -> DataFrame:
-        """Answers of the chosen pairs; floors has qb and, per query, a score it has k answers of."""
-        both = chosen.select("qb", "xb").join(
-            asked.select(F.col("block").alias("qb"), F.col("ids").alias("qi"),
-                         F.col("points").alias("qp"), F.col("nodes").alias("qn")), "qb").join(
-            data.select(F.col("block").alias("xb"), F.col("ids").alias("xi"),
-                        F.col("points").alias("xp"), F.col("nodes").alias("xn")), "xb")
-        if floors is not None:
-            both = both.join(floors, "qb", "left")
-        else:
-            both = both.withColumn("floors", F.lit(None).cast("map<bigint,bigint>"))
-        limit_batches(spark, 16)
-
-        def run(batches):
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    qi, qp, qn, xi, xp, xn, known = (batch.column(c)[i].as_py() for c in (
-                        "qi", "qp", "qn", "xi", "xp", "xn", "floors"))
-                    a, b = Block.unpack(qi, qp, qn), Block.unpack(xi, xp, xn)
-                    known = dict(known or [])
-                    floor = np.array([known.get(int(z), NONE) for z in a.ids])
-                    out = dual_search(a, b, k, floor)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([qb] * len(out), pa.int64()) for qb in [batch.column("qb")[i].as_py()]]
-                        + [pa.array([o[c] for o in out], pa.int64()) for c in range(3)],
-                        ["qb", "query_id", "vec_id", "score"])
-
-        columns = ("qb", "qi", "qp", "qn", "xi", "xp", "xn", "floors")
-        return materialise(both.repartition("qb", "xb").select(*columns).mapInArrow(
-            run, "qb bigint, query_id bigint, vec_id bigint, score bigint"), "answers")
-
-    by_bound = Window.partitionBy("qb").orderBy(F.desc("bound"), "xb")
-    ranked = pairs.withColumn("r", F.row_number().over(by_bound))
-    first = search(ranked.where("r = 1"), None)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # A data block of its own pivot gives each query block its floors.
+    own = data.groupBy("dims", "pivot").agg(F.min("block").alias("xb"))
+    first_pairs = materialise(asked.join(own, ["dims", "pivot"]).select(
+        F.col("block").alias("qb"), "xb"), "first_pairs")
+    first = _searched(first_pairs, asked, data, None, k)
     in_block = Window.partitionBy("qb", "query_id").orderBy(F.desc("score"), "vec_id")
-    kth = first.groupBy("qb", "query_id", "vec_id").agg(F.max("score").alias("score")).withColumn(
-        "rank", F.row_number().over(in_block)).where(F.col("rank") == k)
+    kth = first.withColumn("rank", F.row_number().over(in_block)).where(F.col("rank") == k)
     floors = materialise(kth.groupBy("qb").agg(F.map_from_entries(F.collect_list(
-        F.struct("query_id", "score"))).alias("floors"), F.min("score").alias("worst"),
+        F.struct("query_id", "score"))).alias("floors"), F.min("score").alias("least"),
         F.count(F.lit(1)).alias("full")), "floors")
-    sizes = asked.select(F.col("block").alias("qb"), F.col("n").alias("in_block"))
-    rest = ranked.where("r > 1").join(floors, "qb", "left").join(sizes, "qb").where(
-        F.col("worst").isNull() | (F.col("full") < F.col("in_block"))
-        | (F.col("bound") >= F.col("worst")))
-    second = search(rest.select("qb", "xb"), floors.select("qb", "floors"))
+
+    # Pairs of pivots, of query blocks and pivots, and of blocks; each level from the one above.
+    least = F.when(F.col("full") >= F.col("n_ids"), F.col("least").cast("double"))
+    q = materialise(asked.select("dims", "pivot", "block", "centre", "radius", "ids").join(
+        floors.drop("floors").withColumnRenamed("qb", "block"), "block", "left").withColumn(
+        "n_ids", F.length("ids") / 8).withColumn(
+        "worst", F.coalesce(least, F.lit(float("-inf")))).drop("ids"), "query_balls")
+    x_pivots = _balls(data).select(
+        "dims", F.col("pivot").alias("xp"), F.col("centre").alias("xc"), F.col("radius").alias("xr"))
+    q_pivots = _balls(q).join(q.groupBy("dims", "pivot").agg(F.min("worst").alias("worst")), [
+        "dims", "pivot"])
+    reach = _bound("centre", "radius", "xc", "xr") >= F.col("worst")
+    pivot_pairs = q_pivots.join(x_pivots, "dims").where(reach).select(
+        "dims", "pivot", "xp", "xc", "xr")
+    near = q.join(pivot_pairs, ["dims", "pivot"]).where(reach).select(
+        "dims", "xp", F.col("block").alias("qb"), "centre", "radius", "worst")
+    pairs = near.join(data.select(
+        "dims", F.col("pivot").alias("xp"), F.col("block").alias("xb"), F.col("centre").alias("xc"),
+        F.col("radius").alias("xr")), ["dims", "xp"]).where(reach).select("qb", "xb")
+    rest = materialise(pairs.join(first_pairs, ["qb", "xb"], "left_anti"), "block_pairs")
+    second = _searched(rest, asked, data, floors, k)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return first.unionByName(second).groupBy("query_id", "vec_id").agg(
         F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(
         F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
