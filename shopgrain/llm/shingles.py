@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
 
 WORDS = 5
+# White space as str.split() has it, as a class for regular expressions of SQL functions.
+SPACE = "[" + "".join(f"\\x{{{c:x}}}" for c in range(sys.maxunicode) if chr(c).isspace()) + "]"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
