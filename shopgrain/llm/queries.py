@@ -91,7 +91,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     held_out = fold("doc_id", 5) == 0
-    model = toxicity.train(toxicity.labelled(docs, labels, ~held_out))
+    model = toxicity.train(toxicity.labelled(docs, labels, ~held_out, with_id=True))
     found = toxicity.passages(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "score",
                         (F.col("score") >= 0.5).cast("int").alias("predicted"),

@@ -75,29 +75,38 @@ def words_of(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     return words, ends
 
 
-def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+def segments(scores: np.ndarray, total: np.ndarray | None = None) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), by one pass over the positive scores.
 
     Each positive score opens a candidate, which joins the candidates to its left back to the
-    nearest one whose left sum is smaller, as long as the right sum of that one is smaller too.
+    nearest one whose left sum is smaller, as long as the right sum of that one is smaller too. A
+    candidate knows the nearest one to its left with a smaller left sum, so that those between need
+    no look; where there is none, all candidates so far are final. The steps are linear in number.
     """
-    total = np.concatenate([[0.0], np.cumsum(scores)])
-    starts, ends, lefts, rights = [], [], [], []
-    for i in np.flatnonzero(scores > 0).tolist():
-        start, left, right = i, float(total[i]), float(total[i + 1])
+    if total is None:
+        total = np.concatenate([[0.0], np.cumsum(scores)])
+    done: list[tuple[int, int, float, float]] = []
+    open_: list[tuple[int, int, float, float]] = []
+    smaller: list[int] = []
+    at = np.flatnonzero(scores > 0)
+    for i, left, right in zip(at.tolist(), total[at].tolist(), total[at + 1].tolist(), strict=True):
+        start, j = i, len(open_) - 1
         while True:
-            j = len(lefts) - 1
-            while j >= 0 and lefts[j] >= left:
-                j -= 1
-            if j < 0 or rights[j] >= right:
+            while j >= 0 and open_[j][2] >= left:
+                j = smaller[j]
+            if j < 0:
+                done += open_
+                open_, smaller = [], []
                 break
-            start, left = starts[j], lefts[j]
-            del starts[j:], ends[j:], lefts[j:], rights[j:]
-        starts.append(start)
-        ends.append(i + 1)
-        lefts.append(left)
-        rights.append(right)
-    return [(a, b, r - x) for a, b, x, r in zip(starts, ends, lefts, rights, strict=True)]
+            if open_[j][3] >= right:
+                break
+            start, left = open_[j][0], open_[j][2]
+            before = smaller[j]
+            del open_[j:], smaller[j:]
+            j = before
+        open_.append((start, i + 1, left, right))
+        smaller.append(j)
+    return [(a, b, r - x) for a, b, x, r in done + open_]
 
 
 @dataclass
@@ -204,17 +213,18 @@ def decay(scores: np.ndarray, weights: np.ndarray) -> float:
 
 def train(
     rows: DataFrame, text: str = "text", toxic: str = "toxic", prior: float = 20.0,
-    z_least: float = 4.0, drift: float = 0.25, max_features: int = 1 << 17,
+    z_least: float = 4.0, drift: float = 0.25, label_rows: int = 1 << 20,
     calibration_rows: int = 6000, null_quantile: float = 0.95,
 ) -> Model:
     """A model from labelled rows; rows with a NULL label teach nothing, NULL texts have no words.
 
-    Counts cover all rows. The model keeps the features whose |z| reaches z_least, of them at most
-    the max_features most significant, and so stays bounded. The curve is fitted on a sample of about
-    calibration_rows rows. Without a toxic and another row no word scores,
+    The model learns from about label_rows rows, from all where there are no more, and keeps every
+    feature whose |z| reaches z_least. The curve is fitted on a sample of about calibration_rows
+    rows. Samples are drawn by all columns of rows, so that a document id keeps copies apart. Without a toxic and another row no word scores,
     and all texts get one low score.
     """
     rows = rows.where(F.col(toxic).isNotNull())
+    rows = bounded_sample(rows, F.struct(*rows.columns), label_rows)
     counts = materialise(count_presence(rows, text, toxic), "presence")
     total = counts.where("feature = 0").first()
     n_tox, n_oth = (total["toxic_texts"], total["other_texts"]) if total else (0, 0)
@@ -222,13 +232,13 @@ def train(
         none = np.empty(0)
         return Model(none.astype(np.uint64), none, none, drift, slope=0.0)
     kept = log_odds(counts.where("feature <> 0"), n_tox, n_oth, prior).where(
-        F.abs("z") >= z_least).orderBy(F.desc(F.abs("z")), "feature").limit(max_features).toArrow()
+        F.abs("z") >= z_least).select("feature", "delta", "z").toArrow()
     hashes = kept.column("feature").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     delta, z = (kept.column(c).to_numpy()[order] for c in ("delta", "z"))
     model = Model(hashes[order], delta, z, drift)
-    some = bounded_sample(rows.select(F.col(text).alias("text"), (F.col(toxic) != 0).alias("toxic")),
-                          F.col("text"), calibration_rows)
+    some = bounded_sample(rows, F.struct(*rows.columns), calibration_rows).select(
+        F.col(text).alias("text"), (F.col(toxic) != 0).alias("toxic"))
     seen = passages(some, model, "text").select(
         "toxic", "n_tokens", "word_scores",
         F.transform("passages", lambda p: p["score"]).alias("s")).toArrow()
@@ -311,7 +321,8 @@ def passages(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return add_columns(df, fields, text, fill)
 
 
-def labelled(df: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic") -> DataFrame:
+def labelled(df: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
+             with_id: bool = False) -> DataFrame:
     """The texts of learning rows with their labels; of several labels of an id the largest.
 
     Labels grow with the corpus, so the join is a shuffle at every size.
@@ -319,4 +330,4 @@ def labelled(df: DataFrame, labels: DataFrame, learn: Column, label: str = "toxi
     marks = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).alias("toxic")).where("toxic IS NOT NULL")
     return df.where(learn).select("doc_id", "text").join(
-        marks.hint("merge"), "doc_id").select("text", "toxic")
+        marks.hint("merge"), "doc_id").select(*["doc_id"] * with_id, "text", "toxic")

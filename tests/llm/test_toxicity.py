@@ -35,6 +35,32 @@ def test_segments_have_the_scores_of_brute_force(values):
         assert abs(s - scores[a:b].sum()) < 1e-6
 
 
+def test_segments_take_linear_time():
+    """Twice the scores, twice the steps: counted by the comparisons of sums."""
+    class Counted(float):
+        steps = 0
+
+        def __ge__(self, other):
+            Counted.steps += 1
+            return float(self) >= float(other)
+
+    class Scores(np.ndarray):
+        def tolist(self):
+            return [Counted(x) if isinstance(x, float) else x for x in super().tolist()]
+
+    rng = np.random.default_rng(1)
+    shapes = {"falling": lambda n: np.tile([1.0, -2.0], n), "rising": lambda n: np.tile([2.0, -1.0], n),
+              "noise": lambda n: rng.normal(size=2 * n), "stairs": lambda n: np.concatenate(
+                  [np.tile([2.0, -1.5], n // 2), np.tile([0.2, -2.0], n // 2)])}
+    for make in shapes.values():
+        for n in (5_000, 20_000):
+            Counted.steps = 0
+            scores = make(n)
+            total = np.concatenate([[0.0], np.cumsum(scores)]).view(Scores)
+            found = X.segments(scores, total)
+            assert found and Counted.steps <= 8 * n
+
+
 def test_held_out_texts(spark, folder):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
