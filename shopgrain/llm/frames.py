@@ -67,6 +67,14 @@ def add_columns(
     return df.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores as make it none of df's columns."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with value computed once: higher-order functions would repeat it."""
     return F.transform(F.array(value), use)[0]

@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.llm.frames import add_columns, limit_batches
+from shopgrain.llm.frames import add_columns, fresh, limit_batches
 from shopgrain.llm.graph import components
-from shopgrain.llm.shingles import GOLDEN, counted, mix, shingles, uniform
+from shopgrain.llm.shingles import GOLDEN, SPACE, counted, mix, shingles, uniform
 from shopgrain.session import materialise
 
 
@@ -172,8 +172,9 @@ def near_duplicate_links(docs: DataFrame, text: str = "text", settings: Settings
 
 def wanted_texts(keys: DataFrame, bodies: DataFrame, name: str) -> DataFrame:
     """key, body of the texts asked for, one row each. Keys grow with the corpus: never broadcast."""
-    wanted = bodies.join(keys.distinct().hint("merge"), "key", "left_semi")
-    return materialise(wanted.dropDuplicates(["key"]), name)
+    # Copies become one within each task, before texts are shuffled.
+    texts = bodies.dropDuplicates(["key"])
+    return materialise(texts.join(keys.distinct().hint("merge"), "key", "left_semi"), name)
 
 
 def verified(pairs: DataFrame, signed: DataFrame, bodies: DataFrame, settings: Settings) -> DataFrame:
@@ -314,10 +315,10 @@ def classes(docs: DataFrame, doc_id: str, text: str, settings: Settings) -> Data
         (F.col("first.class_key") == F.col("class_key")).alias("is_kept"))
 
 
-def with_key(docs: DataFrame, text: str) -> DataFrame:
-    """docs with class_key, the hash of the text; NULL for texts without words."""
-    has_words = F.coalesce(F.col(text), F.lit("")).rlike(r"\S")
-    return docs.withColumn("class_key", F.when(has_words, text_key(F.col(text))))
+def with_key(docs: DataFrame, text: str, key: str = "class_key") -> DataFrame:
+    """docs with the hash of the text as `key`; NULL for texts without words."""
+    has_words = F.coalesce(F.col(text), F.lit("")).rlike(f"[^{SPACE[1:]}")
+    return docs.withColumn(key, F.when(has_words, text_key(F.col(text))))
 
 
 def near_duplicates(
@@ -330,13 +331,14 @@ def near_duplicates(
     space) are each a class of their own. Repeated rows count as documents. Columns of the two
     names are replaced.
     """
-    docs = docs.drop("class_id", "n_in_class", "class_key")
+    docs = docs.drop("class_id", "n_in_class")
+    key = fresh(docs, "class_key")
     found = materialise(classes(docs, doc_id, text, settings), "classes")
-    marked = with_key(docs, text).join(
-        found.select("class_key", "class_id", "n_in_class"), "class_key", "left")
+    marked = with_key(docs, text, key).join(
+        found.select(F.col("class_key").alias(key), "class_id", "n_in_class"), key, "left")
     return marked.withColumns({
-        "class_id": F.when(F.col("class_key").isNull(), F.col(doc_id)).otherwise(F.col("class_id")),
-        "n_in_class": F.coalesce("n_in_class", F.lit(1).cast("bigint"))}).drop("class_key")
+        "class_id": F.when(F.col(key).isNull(), F.col(doc_id)).otherwise(F.col("class_id")),
+        "n_in_class": F.coalesce("n_in_class", F.lit(1).cast("bigint"))}).drop(key)
 
 
 def keep_one(
@@ -349,8 +351,9 @@ def keep_one(
     columns = docs.columns
     found = classes(docs, doc_id, text, settings).where("is_kept")
     found = materialise(found.select("class_key", F.col("class_id").alias("keep_id")), "kept")
-    keyed = with_key(docs, text)
-    kept = keyed.join(found, (keyed["class_key"] == found["class_key"])
+    key = fresh(docs, "class_key")
+    keyed = with_key(docs, text, key)
+    kept = keyed.join(found, (keyed[key] == found["class_key"])
                       & keyed[doc_id].eqNullSafe(found["keep_id"]), "left_semi")
-    kept = kept.dropDuplicates(["class_key", doc_id])
-    return kept.select(*columns).unionByName(keyed.where("class_key IS NULL").select(*columns))
+    both = kept.dropDuplicates([key, doc_id]).unionByName(keyed.where(F.col(key).isNull()))
+    return both.drop(key).select(*[f"`{c}`" for c in columns])

@@ -19,7 +19,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.frames import bind
+from shopgrain.llm.frames import bind, fresh
 from shopgrain.session import materialise
 
 MAX_STRINGS = 64
@@ -176,11 +176,11 @@ def find_secrets(
     """docs with secret_spans, an array of (start, ord, kind, end) by start and then by rule.
 
     Positions are code points, `end` exclusive. NULL and empty texts have no spans. Repeated rows
-    keep their number, and each gets the spans of its text; a column named secret_spans or
-    secret_text_key is replaced. Texts meet their spans again by hash; a hot text is one key on
+    keep their number, and each gets the spans of its text; a column named secret_spans
+    is replaced. Texts meet their spans again by hash; a hot text is one key on
     the small side, and the other side is split by AQE.
     """
-    docs = docs.drop("secret_spans", "secret_text_key")
+    docs = docs.drop("secret_spans")
     index = materialise(build_index(docs.select(text), F.col(text), rules), "trigrams")
     found = candidates(index, rules)
     texts = docs.select(F.col(text).alias("body"), F.sha2(text, 256).alias("text_key"))
@@ -188,14 +188,14 @@ def find_secrets(
         F.when(F.array_contains("kinds", r.kind), spans_of(F.col("body"), r, i)).otherwise(
             F.expr("CAST(array() AS array<struct<start:bigint,ord:int,kind:string,end:bigint>>)"))
         for i, r in enumerate(rules)]))
-    # Candidate texts only: with large inputs Spark's runtime Bloom filter prunes the scan.
-    verified = texts.join(found, "text_key").select(
+    # Candidate texts only, copies as one: with large inputs Spark's runtime Bloom filter prunes the scan.
+    verified = texts.where("body IS NOT NULL").dropDuplicates(["text_key"]).join(
+        found, "text_key").select(
         "text_key", F.sort_array(spans).alias("secret_spans")).where(
         F.size("secret_spans") > 0)
-    verified = materialise(verified.groupBy("text_key").agg(
-        F.min("secret_spans").alias("secret_spans")), "secrets")
-    keyed = docs.withColumn("secret_text_key", F.sha2(text, 256))
-    return keyed.join(verified, F.col("secret_text_key") == F.col("text_key"), "left").drop(
-        "text_key", "secret_text_key").withColumn("secret_spans", F.coalesce(
+    key = fresh(docs, "secret_text_key")
+    verified = materialise(verified, "secrets").withColumnRenamed("text_key", key)
+    return docs.withColumn(key, F.sha2(text, 256)).join(verified, key, "left").drop(
+        key).withColumn("secret_spans", F.coalesce(
             "secret_spans",
             F.expr("CAST(array() AS array<struct<start:bigint,ord:int,kind:string,end:bigint>>)")))
