@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
@@ -42,3 +43,23 @@ def test_stages_cope_with_odd_rows(spark, folder):
     for rows in (None, []):
         for _, stage in C.STAGES:
             stage(spark, frame(spark, rows), folder).collect()
+
+
+def test_columns_of_any_name_keep_their_values(spark, folder):
+    """Each name that a stage adds or works with is present in the input, and stays as it was."""
+    names = ["lang_pred", "score", "cross_entropy", "rejected", "held_out", "class_id", "n_in_class",
+             "class_key", "class_label", "is_kept", "keep_id", "owner", "copies", "secret_spans",
+             "secret_text_key", "text_key", "kinds", "body", "mix_topic", "mix_words", "inclusion",
+             "fitted", "weight", "_value", "_cell_lang", "carried", "row", "none", "a.b"]
+    docs = frame(spark).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    clash = docs.select("*", *[F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names])
+    quoted = [f"`{n}`" for n in names]
+    for name, stage in C.STAGES:
+        plain, found = (sorted(r["doc_id"] for r in stage(spark, d, folder).collect())
+                        for d in (docs, clash))
+        assert plain == found, name
+        made = stage(spark, clash, folder)
+        if name != "bpe":
+            assert made.columns == clash.columns
+        for r in made.select("doc_id", *quoted).collect():
+            assert [*r[1:]] == [f"{n} of {r['doc_id']}" for n in names], name
