@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.llm import bpe, language, mixing, near_dedup, secret_scan
@@ -20,32 +20,50 @@ from shopgrain.session import scratch_dir
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """docs with the used columns and all others packed into one, and the columns that undo it.
+
+    Operators add columns of their own names; a packed one of that name stays as it came.
+    """
+    others = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in used}
+    packed = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(n) for c, n in others.items()])
+    back = [F.col(f"carried.{others[c]}").alias(c) if c in others else F.col(c) for c in docs.columns]
+    return docs.select(*used, packed.alias("carried")), back
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; rejected ones go."""
     models = language.train_on_folds(docs.select("doc_id", "text", "lang"))
-    return language.predict(docs, models).where("NOT rejected").select(*docs.columns)
+    used, back = apart(docs, "doc_id", "text")
+    return language.predict(used, models).where("NOT rejected").select(*back)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return near_dedup.keep_one(docs)
+    used, back = apart(docs, "doc_id", "text")
+    return near_dedup.keep_one(used).select(*back)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a secret go."""
-    return secret_scan.find_secrets(docs).where(F.size("secret_spans") == 0).select(*docs.columns)
+    used, back = apart(docs, "text")
+    return secret_scan.find_secrets(used).where(F.size("secret_spans") == 0).select(*back)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens are raked to tempered shares of sources, languages and topics."""
-    weighed = docs.withColumns({"mix_topic": mixing.topic(F.col("text")),
+    used, back = apart(docs, "doc_id", "text", "lang", "source")
+    weighed = used.withColumns({"mix_topic": mixing.topic(F.col("text")),
                                 "mix_words": mixing.tokens(F.col("text"))})
     drawn = mixing.sample(weighed, ["source", "lang", "mix_topic"], weight="mix_words")
-    return drawn.select(*docs.columns)
+    return drawn.select(*back)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their token ids; the ids give back the text."""
+    """All documents, with their token ids; the ids give back the text.
+
+    The columns n_tokens and ids are the result of the stage: input columns of these names go.
+    """
     return bpe.encode(docs, tokenizer_path())
 
 
