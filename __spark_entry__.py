@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oracle.sql import all_sql
-from shopgrain.functions import ntz
-from shopgrain.plans import audits, layout, pairs, profiles, questions, star, trips
+from shopgrain.functions import day_id, ntz
+from shopgrain.operators.carry import as_of_carry
+from shopgrain.plans import audits, history, layout, pairs, profiles, questions, star, trips
 from shopgrain.plans.catalogue import catalogue
 from shopgrain.session import scratch_dir, tune
 from shopgrain.sources import roles, tables
@@ -268,6 +269,46 @@ def _star_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read(star.REJECTS)
 
 
+def _asof_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pit_features by carrying versions forward."""
+    orders = roles.role_shop(spark, sf_dir).orders.select("order_id", "user_id", "order_date")
+    versions = star_tables(spark, sf_dir).read("dim_customer").select(
+        "user_id", "customer_key", F.col("city").alias("historical_city"), "valid_from", "valid_to")
+    found = as_of_carry(orders, versions, "user_id", "order_date")
+    return found.select("order_id", day_id(F.col("order_date")).alias("order_date_id"),
+                        "historical_city", "customer_key")
+
+
+def late_feeds(shop: Shop) -> list[DataFrame]:
+    """Three feeds of changes: some users have several in one feed, and many come late."""
+    def change(condition: str, at: str, city: str) -> DataFrame:
+        return shop.users.where(condition).select(
+            "user_id", "email", "full_name", F.expr(city).alias("city"), ntz(at).alias(history.AT))
+
+    moved = "concat(coalesce(city, 'nowhere'), ' (moved)')"
+    return [
+        change("user_id % 3 = 0", "1998-06-01 00:00:00", moved),
+        change("user_id % 6 = 0", "1997-03-01 00:00:00", "'Stopover'").unionByName(
+            change("user_id % 5 = 0", "1996-01-01 00:00:00", "'Early'")).unionByName(
+            change("user_id % 5 = 0", "1999-01-01 00:00:00", "'Later'")),
+        change("user_id % 3 = 0", "1999-06-01 00:00:00", moved).unionByName(
+            change("user_id % 10 = 0", "1993-05-05 00:00:00", "'Before'")),
+    ]
+
+
+def history_tables(spark: SparkSession, sf_dir: str) -> VersionedTables:
+    """The customer history after three feeds, the second and third with late changes."""
+    root = f"{_root(spark, sf_dir)}/history"
+    stored = VersionedTables(spark, root)
+    if root not in _loaded:
+        shop = roles.role_shop(spark, sf_dir)
+        history.start_history(shop.users, shop.orders, stored)
+        for feed in late_feeds(shop):
+            history.take_feed(feed, stored)
+        _loaded.add(root)
+    return stored
+
+
 def _join_fanout_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = roles.role_shop(spark, sf_dir)
     customers = star_tables(spark, sf_dir).read("dim_customer")
@@ -356,6 +397,11 @@ def queries(
     found |= {name: on_layout(*spec) for name, spec in _layout_queries().items()}
     found |= {
         "pit_features": _pit_features,
+        "asof_carry": _asof_carry,
+        "scd2_late_changes":
+            lambda spark, sf_dir: history_tables(spark, sf_dir).read("customer_versions"),
+        "scd2_repointed_orders":
+            lambda spark, sf_dir: history_tables(spark, sf_dir).read("dated_orders"),
         "idempotence_check": _idempotence_check,
         "join_fanout_report": _join_fanout_report,
         "star_rejects": _star_rejects,

@@ -466,6 +466,31 @@ def _star_tables() -> dict[str, str]:
         "order_id:i order_date_id:i historical_city:s customer_key:i",
         """SELECT o.order_id, order_date_id, city AS historical_city, o.customer_key
            FROM fct_orders o JOIN dim_customer c ON o.customer_key = c.customer_key""")
+    s["asof_carry"] = s["pit_features"]
+    moved = "concat(coalesce(raw, 'nowhere'), ' (moved)')"
+    feeds = [("user_id % 3 = 0", "1998-06-01", moved), ("user_id % 6 = 0", "1997-03-01", "'Stopover'"),
+             ("user_id % 5 = 0", "1996-01-01", "'Early'"), ("user_id % 5 = 0", "1999-01-01", "'Later'"),
+             ("user_id % 3 = 0", "1999-06-01", moved), ("user_id % 10 = 0", "1993-05-05", "'Before'")]
+    events = " UNION ALL ".join(
+        f"SELECT user_id, email, full_name, {city} AS city, TIMESTAMP '{at}' AS valid_from "
+        f"FROM u WHERE {condition}" for condition, at, city in feeds)
+    late = f"""WITH u AS (SELECT *, city AS raw FROM r_users),
+        e AS (SELECT user_id, email, full_name, {LABEL} AS city, created_at AS valid_from FROM u
+          UNION ALL {events}),
+        v AS (SELECT user_id, email, full_name, city, valid_from,
+            LEAD(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from) AS valid_to
+          FROM (SELECT *, LAG(city) OVER (PARTITION BY user_id ORDER BY valid_from) AS old FROM e)
+          WHERE city IS DISTINCT FROM old)"""
+    s["scd2_late_changes"] = q(
+        "users", "user_id:i email:s full_name:s city:s valid_from:t valid_to:t is_current:b",
+        f"{late} SELECT *, valid_to IS NULL AS is_current FROM v")
+    s["scd2_repointed_orders"] = q(
+        "users orders",
+        "order_id:i user_id:i order_date:t version_from:t historical_city:s",
+        f"""{late} SELECT order_id, o.user_id, order_date, valid_from AS version_from,
+              city AS historical_city
+            FROM r_orders o LEFT JOIN v ON o.user_id = v.user_id AND order_date >= valid_from
+              AND (valid_to IS NULL OR order_date < valid_to)""")
     s["scd2_history_check"] = star(
         "version_no:i is_current:b orders:i first_date_id:i last_date_id:i misplaced:i",
         f"""SELECT c.customer_key % 1048576 AS version_no, is_current, COUNT(*) AS orders,
