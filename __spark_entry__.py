@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import inspect
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -16,8 +17,9 @@ from shopgrain.functions import day_id, ntz
 from shopgrain.operators.carry import as_of_carry
 from shopgrain.plans import audits, history, layout, pairs, profiles, questions, star, trips
 from shopgrain.plans.catalogue import catalogue
-from shopgrain.session import scratch_dir, tune
+from shopgrain.session import materialise, scratch_dir, tune
 from shopgrain.sources import roles, tables
+from shopgrain.sources.files import FileTable
 from shopgrain.sources.report import write_report
 from shopgrain.sources.schemas import STAR_DDL
 from shopgrain.sources.tables import Shop
@@ -206,6 +208,7 @@ def _star_queries() -> dict[str, Callable[..., DataFrame]]:
         "star_audit_not_null": whole_star(audits.star_audit_not_null),
         "star_audit_foreign_keys": whole_star(audits.star_audit_foreign_keys),
         "monthly_revenue_star": p.monthly_revenue_star,
+        "monthly_revenue_named_star": p.monthly_revenue_named_star,
         "category_margin_star": p.category_margin_star,
         "weekend_split_star": p.weekend_split_star,
         "city_revenue_hist_star": p.city_revenue_hist_star,
@@ -250,11 +253,13 @@ def _pit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _idempotence_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads the star a second time and compares it with the first load."""
-    stored = star_tables(spark, sf_dir)
-    before = {name: stored.read(name) for name in STAR_TABLES}
+    """Loads a star of its own twice and compares the two states."""
+    stored = VersionedTables(
+        spark, f"{_root(spark, sf_dir)}/idempotence-{uuid.uuid4().hex}", STAR_DDL)
     shop = roles.role_shop(spark, sf_dir)
     star.load_star(shop, stored, moves(shop))
+    before = {name: stored.read(name) for name in STAR_TABLES}
+    star.load_star(shop, stored, moves(shop))
     return star.idempotence_check(before, {name: stored.read(name) for name in STAR_TABLES})
 
 
@@ -323,6 +328,27 @@ def _join_fanout_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of two months come in after the first load, and the statuses of one are corrected."""
+    shop = roles.role_shop(spark, sf_dir)
+    customers = star_tables(spark, sf_dir).read("dim_customer")
+    facts = materialise(star.fct_orders(shop.orders, customers, shop.shipments), "facts")
+    table = FileTable(spark, f"{_root(spark, sf_dir)}/incremental-{uuid.uuid4().hex}",
+                      STAR_DDL["fct_orders"], ["order_id"], "order_date_id")
+    month = F.col("order_month")
+    table.write(facts.where(~month.isin(199807, 199808)).withColumn("order_status", F.when(
+        month == 199806, "pending").otherwise(F.col("order_status"))))
+    for number in (199808, 199806, 199807):
+        table.merge(facts.where(month == number))
+    return table.read().drop("order_month")
+
+
+def _load_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users that bring no registration time are stamped with the time of the load."""
+    users = roles.role_shop(spark, sf_dir).users.drop("created_at", "phone")
+    return tables.with_defaults(users, "users", MOVED_AT)
+
+
 def _csv_bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{_root(spark, sf_dir)}/csv/users"
     tables.write_csv(roles.role_shop(spark, sf_dir).users, path, "users")
@@ -406,6 +432,8 @@ def queries(
         "join_fanout_report": _join_fanout_report,
         "star_rejects": _star_rejects,
         "csv_bulk_load": _csv_bulk_load,
+        "incremental_load": _incremental_load,
+        "load_defaults": _load_defaults,
         "parquet_reload": _parquet_reload,
         "question_report": _question_report,
     }

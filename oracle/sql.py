@@ -458,6 +458,11 @@ def _star_tables() -> dict[str, str]:
     s["fct_orders"] = star(
         "order_key:i order_id:i customer_key:i order_date_id:i order_status:s total_amount:d "
         "discount_amount:d delivery_days:i", "SELECT * FROM fct_orders")
+    s["incremental_load"] = s["fct_orders"]
+    s["load_defaults"] = q(
+        "users", "user_id:i email:s full_name:s phone:s city:s created_at:t",
+        f"""SELECT user_id, email, full_name, NULL AS phone, city, {SINCE} AS created_at
+            FROM r_users""")
     s["fct_order_items"] = star(
         "order_item_key:s order_id:i order_date_id:i customer_key:i product_key:i quantity:i "
         "unit_price:d cost_amount:d subtotal:d gross_margin:d",
@@ -525,6 +530,9 @@ def _pairs() -> dict[str, str]:
     s["monthly_revenue_star"] = star(
         "year:i month:i revenue:d",
         f"SELECT year, month, SUM(total_amount) AS revenue {dated} WHERE {done} GROUP BY 1, 2")
+    s["monthly_revenue_named_star"] = star(
+        "year:i month_name:s revenue:d",
+        f"SELECT year, month_name, SUM(total_amount) AS revenue {dated} WHERE {done} GROUP BY 1, 2")
     s["category_margin_oltp"] = q(
         "order_items products categories orders", "category_name:s gross_margin:d",
         f"""SELECT c.name AS category_name, SUM(subtotal - quantity * cost) AS gross_margin

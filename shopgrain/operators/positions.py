@@ -1,15 +1,18 @@
 """Rows at given positions of a total order, found without sorting everything in one task.
 
 A global window (`ntile`, `row_number`, or a median over all rows) sends every row to one task.
-Here a position is found by counting instead: split the value range into equal steps, count rows
-per step on the executors, go on within the step that holds the position, and turn to the next
-column once a step is a single value. Any number of positions of any number of orders take part in
-the same counts, so rounds do not add up; the driver sees a bounded histogram of each. Size changes
-nothing but the time a round takes. NULL sorts before every value, as in Spark's own ascending order.
+Here a first pass takes a mergeable quantile sketch of the leading columns, which brackets every
+position between two values. A second pass counts the rows of each bracket by value, or by steps of
+values where it is large, and the rows between brackets; that decides the positions exactly,
+whatever the sketch was. What is still open (steps of several values, ties on the leading column) is
+counted again in the same way within its range. Any number of positions of any number of orders
+take part in the same passes, and the driver sees bounded counts. NULL sorts before every value, as
+in Spark's own ascending order.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -17,7 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FANOUT = 4096  # histogram steps per round and open range
+FANOUT = 1 << 16  # counts that the driver is sent per round and order
+GRID = 2048  # quantiles that the sketch is asked for,
+ACCURACY = 10_000  # each off by at most this part of the rows
 NULL_STEP = -1
 
 
@@ -61,9 +66,12 @@ def rows_at_each(
     of an order are interchangeable, so the answer is always exact.
     """
     columns = list(dict.fromkeys(c for order in orders for c in order))
+    leading = list(dict.fromkeys(order[0] for order in orders))
+    grid = F.array(*[F.lit(k / GRID) for k in range(GRID + 1)])
     ends = df.agg(F.count(F.lit(1)).alias("_n"), *[
-        f(c).alias(f"{f.__name__}_{i}") for i, c in enumerate(columns) for f in (F.min, F.max)
-    ]).first()
+        f(c).alias(f"{f.__name__}_{i}") for i, c in enumerate(columns) for f in (F.min, F.max, F.count)
+    ], *[F.percentile_approx(c, grid, ACCURACY).alias(f"grid_{columns.index(c)}") for c in leading],
+    ).first()
     size, wanted = ends["_n"], positions(ends["_n"])
     found: list[dict[int, tuple]] = [{} for _ in orders]
     if not wanted:
@@ -80,9 +88,34 @@ def rows_at_each(
         low, high = ends[f"min_{i}"], ends[f"max_{i}"]
         yield _Range(order, prefix, low or 0, high or 0, True, local)
 
-    open_ranges = [r for k in range(len(orders)) for r in whole(k, (), {p: p for p in wanted})]
+    def inside(order: int, prefix: tuple, low: int, high: int, local: dict[int, int]) -> Iterator[_Range]:
+        """What is left to look at of the values low to high."""
+        if low == high:
+            yield from whole(order, (*prefix, low), local)
+        else:
+            yield _Range(order, prefix, low, high, False, local)
+
+    open_ranges: list[_Range] = []
+    cells = [_cells(ends, columns.index(o[0]), wanted, fanout) for o in orders]
+    marks = [F.struct(F.lit(k).alias("i"), _cell_of(o[0], c).alias("at"))
+             for k, (o, c) in enumerate(zip(orders, cells, strict=True))]
+    counted = df.select(F.explode(F.array(*marks)).alias("x")).groupBy(
+        "x.i", "x.at.low", "x.at.high").count().collect()
+    for k in range(len(orders)):
+        before = 0
+        mine = sorted((row for row in counted if row["i"] == k),
+                      key=lambda row: (row["low"] is not None, row["low"]))
+        for row in mine:
+            local = {p: p - before for p in wanted if before < p <= before + row["count"]}
+            before += row["count"]
+            if local and row["low"] is None:
+                open_ranges += whole(k, (None,), local)
+            elif local:
+                open_ranges += inside(k, (), row["low"], row["high"], local)
+
     while open_ranges:
-        steps = [F.struct(F.lit(i).alias("i"), r.step(orders[r.order], fanout).alias("step"))
+        share = max(2, fanout // len(open_ranges))
+        steps = [F.struct(F.lit(i).alias("i"), r.step(orders[r.order], share).alias("step"))
                  for i, r in enumerate(open_ranges)]
         hits = df.select(F.explode(F.filter(
             F.array(*steps), lambda x: x["step"].isNotNull())).alias("x"))
@@ -97,18 +130,65 @@ def rows_at_each(
                 before += n
                 if not local:
                     continue
-                low = r.low + step * r.width(fanout)
+                low = r.low + step * r.width(share)
                 if step == NULL_STEP:
                     following += whole(r.order, (*r.prefix, None), local)
-                elif r.width(fanout) == 1:
-                    following += whole(r.order, (*r.prefix, low), local)
                 else:
-                    high = min(low + r.width(fanout) - 1, r.high)
-                    following.append(_Range(r.order, r.prefix, low, high, False, local))
+                    following += inside(r.order, r.prefix, low,
+                                        min(low + r.width(share) - 1, r.high), local)
         open_ranges = following
     return found
 
 
+def _cells(ends, column: int, wanted: list[int], fanout: int) -> list[tuple[int, int, int]]:
+    """low, high, width: the range of a leading column, parted into brackets of positions and gaps.
+
+    Values of a cell are counted in steps of its width; a gap is one step.
+    """
+    low, high, grid = ends[f"min_{column}"], ends[f"max_{column}"], ends[f"grid_{column}"]
+    present = ends[f"count_{column}"]
+    if low is None:
+        return []
+    brackets: list[list[int]] = []
+    for p in sorted(wanted):
+        share = (p - (ends["_n"] - present)) / present  # NULLs come first
+        first = math.floor((share - 1 / ACCURACY) * GRID)
+        last = math.ceil((share + 1 / ACCURACY) * GRID)
+        if last < 0:
+            continue
+        a, b = grid[first] if first > 0 else low, grid[last] if last < GRID else high
+        if brackets and a <= brackets[-1][1] + 1:
+            brackets[-1][1] = max(brackets[-1][1], b)
+        else:
+            brackets.append([a, b])
+    out, at = [], low
+    # As many rows as the brackets have can be counted by value; else by steps.
+    few = len(brackets) and present * 2.0 * len(wanted) / GRID <= fanout
+    for a, b in brackets:
+        if a > at:
+            out.append((at, a - 1, a - at))
+        out.append((a, b, 1 if few else (b - a) // max(1, fanout // len(brackets)) + 1))
+        at = b + 1
+    return out + [(at, high, high - at + 1)] if at <= high else out
+
+
+def _cell_of(name: str, cells: list[tuple[int, int, int]]) -> Column:
+    """low and high of the step that a value lies in; NULL for NULL."""
+    c, none = F.col(name), F.lit(None).cast("bigint")
+    out = F.struct(none.alias("low"), none.alias("high"))
+    for low, high, width in cells:
+        if width == 1:
+            span = F.struct(c.alias("low"), c.alias("high"))
+        elif width > high - low:
+            span = F.struct(F.lit(low).cast("bigint").alias("low"), F.lit(high).cast("bigint").alias("high"))
+        else:
+            start = F.expr(f"`{name}` - pmod(`{name}` - ({low}L), {width}L)")
+            span = F.struct(start.alias("low"), F.least(
+                start + (width - 1), F.lit(high).cast("bigint")).alias("high"))
+        out = F.when(c.between(low, high), span).otherwise(out)
+    return out
+
+
 def rows_at(
     df: DataFrame, order: list[str], positions: Callable[[int], list[int]], fanout: int = FANOUT,
 ) -> dict[int, tuple]:

@@ -3,8 +3,8 @@
 Both forms give the same numbers except where the star keeps history (`city_revenue_hist`), works
 per customer version (`top_spenders`), or merges repeated lines (`category_items`). Facts are
 summed per customer or product before that dimension is joined on, so a frequent one is one row by
-then. Orders are summed per day before the calendar
-is joined on.
+then. Orders are summed per month before the calendar is joined on, and the calendar is left out
+where the date id itself tells the answer.
 """
 
 from __future__ import annotations
@@ -25,13 +25,6 @@ def _revenue():
     return F.sum("total_amount").alias("revenue")
 
 
-def _dated(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Completed orders summed per day, each day with its calendar row."""
-    days = fct_orders.where(DONE).groupBy("order_date_id").agg(
-        _count("orders"), F.sum("total_amount").alias("total_amount"))
-    return days.join(dim_date.withColumnRenamed("date_id", "order_date_id"), "order_date_id")
-
-
 def _items_of_done_orders(fct_order_items: DataFrame, fct_orders: DataFrame) -> DataFrame:
     done = fct_orders.where(DONE).select("order_id")
     return fct_order_items.join(done, "order_id", "left_semi")
@@ -43,8 +36,22 @@ def monthly_revenue_oltp(orders: DataFrame) -> DataFrame:
     )
 
 
-def monthly_revenue_star(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return _dated(fct_orders, dim_date).groupBy("year", "month").agg(_revenue())
+def _per_month(fct_orders: DataFrame) -> DataFrame:
+    return fct_orders.where(DONE).groupBy("order_month").agg(_revenue())
+
+
+def monthly_revenue_star(fct_orders: DataFrame) -> DataFrame:
+    """Year and month are digits of the month number; no calendar is needed."""
+    return _per_month(fct_orders).select(
+        F.expr("order_month div 100").cast("int").alias("year"),
+        (F.col("order_month") % 100).alias("month"), "revenue")
+
+
+def monthly_revenue_named_star(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """With the month's name, from the calendar's first days of months."""
+    months = dim_date.where("day = 1").select(
+        F.expr("date_id div 100").cast("int").alias("order_month"), "year", "month_name")
+    return _per_month(fct_orders).join(months, "order_month").select("year", "month_name", "revenue")
 
 
 def category_margin_oltp(
@@ -83,10 +90,13 @@ def weekend_split_oltp(orders: DataFrame) -> DataFrame:
     )
 
 
-def weekend_split_star(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return _dated(fct_orders, dim_date).groupBy(_day_type(F.col("is_weekend"))).agg(
-        F.sum("orders").alias("orders"), _revenue()
-    )
+def weekend_split_star(fct_orders: DataFrame) -> DataFrame:
+    """The weekday follows from the date id."""
+    day = F.col("order_date_id")
+    date = F.make_date(F.expr("order_date_id div 10000").cast("int"),
+                       F.expr("order_date_id div 100 % 100").cast("int"), day % 100)
+    return fct_orders.where(DONE).groupBy(_day_type(is_weekend(date))).agg(
+        _count("orders"), _revenue())
 
 
 def city_revenue_hist_oltp(users: DataFrame, orders: DataFrame, k: int = 10) -> DataFrame:
@@ -155,8 +165,11 @@ def quarterly_revenue_oltp(orders: DataFrame) -> DataFrame:
     ).agg(_revenue())
 
 
-def quarterly_revenue_star(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return _dated(fct_orders, dim_date).groupBy("year", "quarter").agg(_revenue())
+def quarterly_revenue_star(fct_orders: DataFrame) -> DataFrame:
+    quarter = F.expr("(order_month % 100 + 2) div 3").cast("int")
+    return _per_month(fct_orders).groupBy(
+        F.expr("order_month div 100").cast("int").alias("year"), quarter.alias("quarter")
+    ).agg(F.sum("revenue").alias("revenue"))
 
 
 def aov_oltp(orders: DataFrame) -> DataFrame:

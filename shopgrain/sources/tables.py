@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopgrain.sources.schemas import SHOP_DDL
+from shopgrain.sources.schemas import NULLABLE, SHOP_DDL
+from shopgrain.sources.versions import VersionedTables
 
 
 class Shop:
@@ -95,6 +97,29 @@ def read_jdbc(
 
 
 def reload_parquet(df: DataFrame, path: str) -> DataFrame:
-    """Truncate and reload: replace the whole data set at path, which df must not read from."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Truncate and reload: df takes the place of the whole data set at path, which it may read.
+
+    The rows are stored as the next version below path, so a lost job leaves the old ones.
+    """
+    root, _, name = path.rstrip("/").rpartition("/")
+    return VersionedTables(df.sparkSession, root).write(name, df)
+
+
+def with_defaults(df: DataFrame, table: str, loaded_at: str) -> DataFrame:
+    """df with all columns of the table: `created_at` is the load's time where df brings none.
+
+    Other absent columns are NULL where the table allows that, and an error where it does not.
+    A column that is present keeps its values, NULLs included, for the audits to find.
+    """
+    out = []
+    for part in SHOP_DDL[table].split(", "):
+        name, kind = part.split(" ", 1)
+        if name in df.columns:
+            out.append(F.col(name))
+        elif name == "created_at":
+            out.append(F.lit(loaded_at).cast(kind).alias(name))
+        elif name in NULLABLE.get(table, set()):
+            out.append(F.lit(None).cast(kind).alias(name))
+        else:
+            raise ValueError(f"{table} needs a column {name}")
+    return df.select(*out)
