@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from oracle.sql import all_sql
 from shopgrain.functions import day_id, ntz
+from shopgrain.operators import bitmaps
 from shopgrain.operators.carry import as_of_carry
 from shopgrain.plans import audits, history, layout, pairs, profiles, questions, star, trips
 from shopgrain.plans.catalogue import catalogue
@@ -117,6 +118,8 @@ def _shop_queries() -> dict[str, Callable[[Shop], DataFrame]]:
     found |= {
         "moving_avg_7_calendar":
             lambda s: q.moving_avg_7_calendar(s.order_items, s.orders, s.products),
+        "moving_avg_7_bucketed":
+            lambda s: q.moving_avg_7_bucketed(s.order_items, s.orders, s.products),
         "running_revenue": lambda s: q.running_revenue(s.orders),
         "return_rate_products_distinct": lambda s: q.return_rate_products(
             s.products, s.order_items, s.orders, min_orders=20, per_order=True),
@@ -343,6 +346,18 @@ def _incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().drop("order_month")
 
 
+def _cohort_retention_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohorts from a stored state of activity that takes the orders in three parts."""
+    orders = roles.role_shop(spark, sf_dir).orders
+    stored = VersionedTables(spark, f"{_root(spark, sf_dir)}/activity-{uuid.uuid4().hex}")
+    for part in range(3):
+        state = questions.activity_delta(orders.where(F.col("order_id") % 3 == part))
+        if stored.exists("activity"):
+            state = bitmaps.merge(stored.read("activity"), state)
+        stored.write("activity", state)
+    return questions.cohort_retention_of_state(stored.read("activity"))
+
+
 def _load_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users that bring no registration time are stamped with the time of the load."""
     users = roles.role_shop(spark, sf_dir).users.drop("created_at", "phone")
@@ -434,6 +449,7 @@ def queries(
         "csv_bulk_load": _csv_bulk_load,
         "incremental_load": _incremental_load,
         "load_defaults": _load_defaults,
+        "cohort_retention_state": _cohort_retention_state,
         "parquet_reload": _parquet_reload,
         "question_report": _question_report,
     }

@@ -54,6 +54,7 @@ def _questions() -> dict[str, str]:
             SELECT a.*, z.active_users AS cohort_size,
               {pct('a.active_users', 'z.active_users')} AS retention_pct
             FROM active a JOIN active z USING (cohort_month) WHERE z.month_offset = 0""")
+    s["cohort_retention_state"] = s["cohort_retention"]
     s["rfm_segments"] = q(
         "orders",
         "user_id:i recency:i frequency:i monetary:d r_score:i f_score:i m_score:i "
@@ -88,6 +89,7 @@ def _questions() -> dict[str, str]:
             "moving_avg_rev_7d:d",
             f"""{daily} SELECT product_id, product_name, sale_date, dq AS daily_quantity,
                 {qty} AS moving_avg_qty_7d, {rev} AS moving_avg_rev_7d FROM d""")
+    s["moving_avg_7_bucketed"] = s["moving_avg_7"]
     s["purchase_streaks"] = q(
         "orders", "user_id:i streak_start:s streak_end:s streak_length_days:i",
         """WITH days AS (SELECT user_id, CAST(order_date AS DATE) AS day FROM r_orders

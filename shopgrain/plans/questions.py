@@ -19,6 +19,8 @@ from pyspark.sql.window import Window as W
 from shopgrain.functions import (
     cents, day_name, dow_sunday0, mean, month_start, ntz, pct, ratio, round2, whole_days,
 )
+from shopgrain.operators import bitmaps
+from shopgrain.operators.halo import with_halo
 from shopgrain.operators.joins import label_null, not_exists, not_in
 from shopgrain.operators.positions import exact_median, global_ntiles
 from shopgrain.session import materialise
@@ -33,6 +35,10 @@ def _rows(alias: str) -> Column:
     return F.count(F.lit(1)).alias(alias)
 
 
+def _month_no() -> Column:
+    return F.year("order_date") * 12 + F.month("order_date") - 1
+
+
 def product_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """Units and revenue per product over completed orders."""
     done = orders.where(DONE).select("order_id")
@@ -48,14 +54,27 @@ def product_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
 
 def cohort_retention(orders: DataFrame) -> DataFrame:
     """Share of each first-purchase month's users who bought again n months later."""
-    month_no = F.year("order_date") * 12 + F.month("order_date") - 1
-    active = orders.where(BOUGHT).select("user_id", month_no.alias("month_no")).distinct()
+    active = orders.where(BOUGHT).select("user_id", _month_no().alias("month_no")).distinct()
     first = F.min("month_no").over(W.partitionBy("user_id"))
     counts = (
         active.withColumn("cohort", first)
         .groupBy("cohort", (F.col("month_no") - F.col("cohort")).alias("month_offset"))
         .agg(_rows("active_users"))
     )
+    return _retention_rates(counts)
+
+
+def activity_delta(orders: DataFrame) -> DataFrame:
+    """The months of buying of the users in a part of the orders, for a stored state."""
+    return bitmaps.activity(orders.where(BOUGHT), "user_id", _month_no())
+
+
+def cohort_retention_of_state(state: DataFrame) -> DataFrame:
+    """`cohort_retention` from a stored state of months of buying."""
+    return _retention_rates(bitmaps.retention_counts(state))
+
+
+def _retention_rates(counts: DataFrame) -> DataFrame:
     # Every user is active in their own first month, so offset 0 holds the cohort size.
     started = F.when(F.col("month_offset") == 0, F.col("active_users"))
     sized = counts.withColumn("cohort_size", F.max(started).over(W.partitionBy("cohort")))
@@ -247,7 +266,7 @@ def _daily_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def _moving_average(daily: DataFrame, products: DataFrame, window) -> DataFrame:
+def _moving_average(daily: DataFrame, products: DataFrame, window, *more: str) -> DataFrame:
     names = products.select("product_id", F.col("name").alias("product_name"))
     n = F.count(F.lit(1)).over(window)
     return daily.join(names, "product_id").select(
@@ -255,7 +274,7 @@ def _moving_average(daily: DataFrame, products: DataFrame, window) -> DataFrame:
         round2(F.sum("daily_quantity").over(window).cast("double") / n)
         .alias("moving_avg_qty_7d"),
         round2(F.sum("daily_revenue").over(window).cast("double") / n)
-        .alias("moving_avg_rev_7d"),
+        .alias("moving_avg_rev_7d"), *more,
     )
 
 
@@ -265,6 +284,16 @@ def moving_avg_7(order_items: DataFrame, orders: DataFrame, products: DataFrame)
     return _moving_average(_daily_sales(order_items, orders), products, seven_rows)
 
 
+def moving_avg_7_bucketed(
+    order_items: DataFrame, orders: DataFrame, products: DataFrame, bucket_days: int = 366,
+) -> DataFrame:
+    """`moving_avg_7` with a product's days parted into buckets, so that one product spans tasks."""
+    bucket = F.floor(F.unix_date("sale_date") / bucket_days)
+    daily = with_halo(_daily_sales(order_items, orders), ["product_id"], "sale_date", bucket, 6)
+    seven_rows = W.partitionBy("product_id", "_bucket").orderBy("sale_date").rowsBetween(-6, 0)
+    return _moving_average(daily, products, seven_rows, "_halo").where("NOT _halo").drop("_halo")
+
+
 def moving_avg_7_calendar(
     order_items: DataFrame, orders: DataFrame, products: DataFrame
 ) -> DataFrame:

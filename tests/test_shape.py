@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import _shop_queries, _trip_queries, queries
+from __spark_entry__ import (
+    _layout_queries, _shop_queries, _star_queries, _trip_queries, queries,
+)
 from conftest import plan, rows
 from shopgrain.plans import audits, questions as q
 from shopgrain.session import materialise
@@ -13,7 +15,9 @@ UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "A
             "MapInPandas", "PythonUDF", "CollectLimit"]
 
 
-@pytest.mark.parametrize("name", [*_shop_queries(), *_trip_queries()])
+@pytest.mark.parametrize("name", [
+    *_shop_queries(), *_trip_queries(), *_star_queries(), *_layout_queries(), "pit_features",
+    "asof_carry", "scd2_late_changes", "scd2_repointed_orders", "incremental_load", "load_defaults"])
 def test_plan_shape(spark, folder, name):
     text = plan(queries()[name](spark, folder))
     assert not [node for node in UNWANTED if node in text]
