@@ -378,11 +378,19 @@ def _parquet_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _question_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The printed rows, their fields by name; numbers in hundredths, for comparison across engines."""
     report = write_report(catalogue(RFM_AS_OF, min_orders=20), roles.role_shop(spark, sf_dir),
-                          f"{_root(spark, sf_dir)}/report")
-    return report.groupBy("question_id", "name").agg(
-        F.count(F.lit(1)).alias("printed_rows")
-    )
+                          f"{_root(spark, sf_dir)}/report-{uuid.uuid4().hex}")
+    fields = F.map_entries(F.from_json("row", "map<string,string>"))
+
+    def text(field):
+        number = field["value"].try_cast("double")
+        moment = F.regexp_replace(field["value"], r"^(\d{4}-\d\d-\d\d)T(\d\d:\d\d:\d\d)\.?0*Z?$", "$1 $2")
+        shown = F.when(number.isNotNull(), F.round(number * 100).cast("bigint").cast("string"))
+        return F.concat(field["key"], F.lit("="), F.coalesce(shown, moment, F.lit("NULL")))
+
+    return report.select("question_id", "name", "position", F.array_join(
+        F.array_sort(F.transform(fields, text)), "|").alias("fields"))
 
 
 def _text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

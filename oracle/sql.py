@@ -836,17 +836,26 @@ def _audits() -> dict[str, str]:
 
 
 def _report(found: dict[str, str]) -> str:
+    """The first rows of every question in report order, each as its sorted fields."""
     from shopgrain.plans.catalogue import catalogue
 
     parts = []
     for c in catalogue():
         keep = min(10, c.limit or 10)
-        parts.append(f"""SELECT {c.number} AS question_id, '{c.name}' AS name,
-            LEAST({keep}, (SELECT COUNT(*) FROM ({found[c.name]}))) AS printed_rows""")
+        terms = [f"{name} {'DESC NULLS FIRST' if way else 'ASC NULLS LAST'}"
+                 for name, _, way in (term.partition(" ") for term in c.order)]
+        order = f"ORDER BY {', '.join(terms)}" if terms else ""
+        number = "TRY_CAST(v AS DOUBLE)"
+        shown = (f"k || '=' || COALESCE(CAST(CAST(round({number} * 100) AS BIGINT) AS VARCHAR), v, "
+                 "'NULL')")
+        parts.append(f"""SELECT {c.number} AS question_id, '{c.name}' AS name, p AS position,
+            string_agg({shown}, '|' ORDER BY {shown}) AS fields
+          FROM (SELECT p, CAST(COLUMNS(* EXCLUDE (p)) AS VARCHAR) FROM (
+              SELECT row_number() OVER ({order}) AS p, * FROM ({found[c.name]}) AS a) AS b
+            WHERE p <= {keep}) AS s UNPIVOT INCLUDE NULLS (v FOR k IN (COLUMNS(* EXCLUDE (p))))
+          GROUP BY p""")
     union = " UNION ALL ".join(parts)
-    # A question without rows leaves no line in the report.
-    return q("categories", "question_id:i name:s printed_rows:i",
-             f"SELECT * FROM ({union}) WHERE printed_rows > 0")
+    return q("categories", "question_id:i name:s position:i fields:s", union)
 
 
 def all_sql() -> dict[str, str]:
