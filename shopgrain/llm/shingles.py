@@ -5,7 +5,6 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
 
 WORDS = 5
 # White space as str.split() has it, as a class for regular expressions of SQL functions.
@@ -27,17 +26,46 @@ def uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
+_tables: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of GOLDEN and of its inverse modulo 2^64, at least n of each."""
+    if len(_tables.get("powers", ())) < n:
+        size = 1 << max(16, int(n).bit_length())
+        for name, base in (("powers", int(GOLDEN)), ("inverse", pow(int(GOLDEN), -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _tables[name] = np.cumprod(steps)
+    return _tables["powers"], _tables["inverse"]
+
+
+def _is_space() -> np.ndarray:
+    """Whether each code point is white space, as str.split() has it."""
+    if "space" not in _tables:
+        _tables["space"] = np.array([chr(c).isspace() for c in range(sys.maxunicode + 1)])
+    return _tables["space"]
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-case words of all texts in a row, and the bounds of each text's."""
-    words: list[str] = []
-    ends = np.zeros(len(texts) + 1, np.int64)
-    for k, text in enumerate(texts):
-        if text:
-            words += text.lower().split()
-        ends[k + 1] = len(words)
-    if not words:
+    """Hashes of the lower-case words of all texts in a row, and the bounds of each text's.
+
+    A word's hash is a polynomial of its code points, taken as a difference of running sums over
+    all texts, so that no word is handled by itself.
+    """
+    lower = [t.lower() if t else "" for t in texts]
+    points = np.frombuffer("\n".join([*lower, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.concatenate([[False], ~_is_space()[points], [False]]).astype(np.int8)
+    edges = np.diff(inside)
+    first, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    texts_end = np.cumsum([len(t) + 1 for t in lower]) if lower else np.empty(0, np.int64)
+    ends = np.concatenate([[0], np.searchsorted(first, texts_end)]).astype(np.int64)
+    if not len(first):
         return np.empty(0, np.uint64), ends
-    return pd.util.hash_array(np.array(words, object), categorize=False), ends
+    powers, inverse = _powers(len(points))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
+        (points.astype(np.uint64) + np.uint64(1)) * powers[:len(points)])])
+    return mix((sums[end] - sums[first]) * inverse[first]), ends
 
 
 def shingles(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
