@@ -42,12 +42,17 @@ def local_session(cores: int | str = 8, name: str = "shopgrain", **conf: str) ->
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables: the one the cluster names in `spark.checkpoint.dir`.
 
-    Where that is unset, as in tests, a folder of the warehouse, which executors share as well.
+    Where that is unset, as in tests, a folder of the warehouse, if executors share it as well.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        own_disk = warehouse.startswith(("file:", "/")) and not sc.master.startswith("local")
+        if own_disk:
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share: the "
+                             f"warehouse {warehouse} is one of each machine")
+        root = f"{warehouse}/_scratch"
         sc.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{sc.applicationId}"
 
