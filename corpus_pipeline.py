@@ -64,7 +64,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The columns n_tokens and ids are the result of the stage: input columns of these names go.
     """
-    return bpe.encode(docs, tokenizer_path())
+    used, back = apart(docs.drop("n_tokens", "ids"), "doc_id", "text")
+    return bpe.encode(used, tokenizer_path()).select(*back, "n_tokens", "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [
