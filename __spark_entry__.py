@@ -67,7 +67,9 @@ def mixed_moves(shop: Shop) -> DataFrame:
         late_moves(shop).where("city = 'City 0 (late)'"))
     same = shop.users.where("city = 'City 5'").select(
         "user_id", "email", "full_name", "city", ntz(MOVED_AT).alias("effective_at"))
-    unseen = same.withColumn("user_id", -F.col("user_id"))
+    # Mirrored below the lowest id: a negated id may be held, as 0 always is its own.
+    lowest = shop.users.agg(F.min("user_id")).scalar()
+    unseen = same.withColumn("user_id", 2 * lowest - 1 - F.col("user_id"))
     return feed.unionByName(same).unionByName(unseen)
 
 

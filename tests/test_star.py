@@ -162,6 +162,18 @@ def test_feed_adds_up_and_rejects_are_stored(spark, shop, tmp_path):
     assert versions == shop.users.count() + outcomes["applied"] + outcomes["new user"]
 
 
+def test_unseen_users_of_the_mixed_feed_are_unseen(spark):
+    from __spark_entry__ import mixed_moves
+    from shopgrain.sources.tables import Shop
+
+    held = [(i, f"{i}@x", "N", None, city, dt(1994, 1, 1)) for i, city in (
+        (0, "City 5"), (7, "City 5"), (-7, "City 5"), (-9, "City 1"), (9, "City 5"), (3, "City 0"))]
+    users = spark.createDataFrame(held, USERS)
+    feed = mixed_moves(Shop(lambda name: users))
+    outcomes = {r.outcome: r.changes for r in s.change_outcomes(s.dim_customer(users), feed).collect()}
+    assert outcomes == {"unchanged": 4, "new user": 4, "applied": 1, "rejected": 1}
+
+
 def test_star_audits_find_planted_faults(star):
     clean = {name: df for name, df in star.items()}
     for audit in (audits.star_audit_unique, audits.star_audit_not_null, audits.star_audit_foreign_keys):
