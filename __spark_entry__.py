@@ -18,7 +18,7 @@ from shopgrain.operators import bitmaps
 from shopgrain.operators.carry import as_of_carry
 from shopgrain.plans import audits, history, layout, pairs, profiles, questions, star, trips
 from shopgrain.plans.catalogue import catalogue
-from shopgrain.session import materialise, scratch_dir, tune
+from shopgrain.session import materialise, scratch_dir, size_shuffles, tune
 from shopgrain.sources import roles, tables
 from shopgrain.sources.files import FileTable
 from shopgrain.sources.report import write_report
@@ -465,7 +465,7 @@ def queries(
     }
 
     def checked(build):
-        return lambda spark, sf_dir: portable(build(tune(spark), sf_dir))
+        return lambda spark, sf_dir: portable(build(size_shuffles(tune(spark), sf_dir), sf_dir))
 
     def tuned(build):
         return lambda spark, sf_dir: build(tune(spark), sf_dir)

@@ -85,7 +85,6 @@ def test_hot_order_is_split_at_run_time(spark, shop, skewed):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
     before = {key: spark.conf.get(key) for key in small}
     lines, orders = (materialise(df.repartition(8), "skew") for df in (lines, orders))
@@ -111,3 +110,22 @@ def test_orphans_are_counted_once_per_row(spark, shop):
     orphans = found["orders", "user_id references users"]
     assert orphans.violations == shop.orders.where("user_id = 7").count() > 0
     assert orphans.sample_key == "7"
+
+
+def test_shuffles_grow_with_the_tables(spark, tmp_path):
+    from shopgrain.session import INPUT_BYTES_PER_PARTITION, size_shuffles
+
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    held = [spark.conf.get(n, None) for n in names]
+    try:
+        (tmp_path / "t.parquet").write_bytes(bytes(40 * INPUT_BYTES_PER_PARTITION))
+        size_shuffles(spark, str(tmp_path))
+        assert spark.range(10).groupBy("id").count().rdd.getNumPartitions() <= 40  # merged again
+        shuffled = spark.range(100_000).repartition("id")
+        assert "hashpartitioning(id#" in plan(shuffled) and ", 40)" in plan(shuffled)
+        size_shuffles(spark, str(tmp_path / "none"))
+        assert ", 8)" in plan(spark.range(100_000).repartition("id"))
+    finally:
+        for n, v in zip(names, held):
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
