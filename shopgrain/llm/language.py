@@ -22,13 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.llm.frames import add_columns, bounded_sample, fold, limit_batches, slices
+from shopgrain.llm.frames import add_columns, bounded_sample, fold, limit_batches, slices  # noqa: F401
+from shopgrain.operators.positions import rows_at
+from shopgrain.session import materialise
 
 BITS = 7
 SYMBOLS = 1 << BITS
 SIZE = SYMBOLS ** 3
 UNKNOWN = "und"
 MODEL = {"hashes": np.int32, "log_probs": np.float32, "backoff": np.float32, "lower": np.float32}
+SCALES = 2.0 ** np.arange(-5, 6)  # that are tried
+UNITS = 1 << 40  # of entropy, in which quantiles are counted
 HELD_LANGUAGES = 16  # languages whose dense counts one task holds before it hands them on
 
 _symbols: list[np.ndarray] = []
@@ -174,15 +178,15 @@ def _entropies(batch: pa.RecordBatch, text: str, models: Models):
 
 def train(
     df: DataFrame, learn, calibrate, text: str = "text", lang: str = "lang",
-    calibration_rows: int = 4000, reject_quantile: float = 0.999, reject_margin: float = 1.5,
+    reject_quantile: float = 0.999, reject_margin: float = 1.5,
     key: tuple[str, ...] = (),
 ) -> Models:
     """Models from the rows where learn holds, calibrated on rows where calibrate holds.
 
-    Counts cover every learning row. Calibration alone takes a sample of about
-    calibration_rows rows, drawn by text and the columns of `key`: with an id, copies of a text are
-    drawn apart. Rows without a text or a language teach nothing. With no
-    learning row at all there is no language, and every text stays unknown.
+    Counts cover every learning row, the scale and the limits every calibration row: tasks add up
+    losses, and quantiles are found by counting. Columns of `key` may be named and change nothing.
+    Rows without a text or a language teach nothing. With no learning row at all there is no
+    language, and every text stays unknown.
     """
     def fit(table: pa.Table) -> pa.Table:
         dense = np.zeros(SIZE, np.int64)
@@ -199,37 +203,48 @@ def train(
                                  for c, kind in MODEL.items()])
     if not languages:
         return models
-    rows = bounded_sample(
-        df.where(calibrate & F.col(text).isNotNull() & F.col(lang).isin(languages)),
-        F.struct(text, *key), calibration_rows).select(
+    rows = df.where(calibrate & F.col(text).isNotNull() & F.col(lang).isin(languages)).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"))
     shared = df.sparkSession.sparkContext.broadcast(models)
 
     def fill(batch: pa.RecordBatch) -> list[pa.Array]:
         e, n = _entropies(batch, "text", shared.value)
-        return [pa.array(e.tolist(), pa.list_(pa.float64())), pa.array(n, pa.int64())]
-
-    fields = [T.StructField("e", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType())]
-    seen = add_columns(rows, fields, "text", fill).select("lang", "e", "n").where("n > 0").toArrow()
-    if seen.num_rows:
-        e, n = np.array(seen.column("e").to_pylist()), seen.column("n").to_numpy()
-        true = np.array([languages.index(x) for x in seen.column("lang").to_pylist()])
-        right = np.arange(len(true)), true
-        losses = []
-        for scale in 2.0 ** np.arange(-5, 6):
-            z = -scale * np.sqrt(n)[:, None] * (e - e.min(1, keepdims=True))
-            losses.append((float((np.log(np.exp(z).sum(1)) - z[right]).mean()), scale))
-        models.scale = float(min(losses)[1])
-        best = e.argmin(1)
-        overall = float(np.quantile(e.min(1), reject_quantile))
-        models.limits = [
-            max(overall, float(np.quantile(e[best == k].min(1), reject_quantile)))
-            + reject_margin if (best == k).any() else overall + reject_margin
-            for k in range(len(languages))
-        ]
+        true = [languages.index(x) for x in batch.column("lang").to_pylist()]
+        apart = np.sqrt(n)[:, None] * (e - e.min(1, keepdims=True))
+        own = apart[np.arange(len(true)), true]
+        losses = np.stack([np.log(np.exp(-x * apart).sum(1)) + x * own for x in SCALES], 1)
+        units = np.rint(e.min(1) * UNITS).astype(np.int64)
+        return [pa.array(losses.tolist(), pa.list_(pa.float64())), pa.array(e.argmin(1), pa.int64()),
+                pa.array(units, pa.int64()), pa.array(n, pa.int64())]
+
+    fields = [T.StructField("losses", T.ArrayType(T.DoubleType())), T.StructField("best", T.LongType()),
+              T.StructField("units", T.LongType()), T.StructField("n", T.LongType())]
+    seen = materialise(add_columns(rows, fields, "text", fill).where("n > 0").select(
+        "losses", "best", "units"), "calibration")
+    sums = seen.groupBy("best").agg(F.count(F.lit(1)).alias("rows"), *[
+        F.sum(F.col("losses")[k]).alias(f"loss_{k}") for k in range(len(SCALES))]).collect()
+    if sums:
+        totals = [sum(r[f"loss_{k}"] for r in sums) for k in range(len(SCALES))]
+        models.scale = float(SCALES[int(np.argmin(totals))])
+        of_language = {r["best"]: r["rows"] for r in sums}
+        overall, = quantiles(seen, ["units"], [sum(of_language.values())], reject_quantile)
+        own = dict(zip(sorted(of_language), quantiles(
+            seen, ["best", "units"], [of_language[k] for k in sorted(of_language)], reject_quantile),
+            strict=True))
+        models.limits = [max(overall, own.get(k, overall)) + reject_margin
+                         for k in range(len(languages))]
     return models
 
 
+def quantiles(df: DataFrame, order: list[str], sizes: list[int], share: float) -> list[float]:
+    """The quantile of the last column of order, in entropy, of each run of so many rows in that order."""
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int).tolist()
+    places = [(start + share * (n - 1), start + n - 1) for start, n in zip(starts, sizes, strict=True)]
+    pairs = [(int(x) + 1, min(int(x) + 1, last) + 1, x - int(x)) for x, last in places]
+    held = rows_at(df, order, lambda _: sorted({p for a, b, _ in pairs for p in (a, b)}))
+    return [(held[a][-1] + part * (held[b][-1] - held[a][-1])) / UNITS for a, b, part in pairs]
+
+
 def predict(df: DataFrame, models: Models, text: str = "text") -> DataFrame:
     """df with lang_pred, score, cross_entropy and rejected.
 

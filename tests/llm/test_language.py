@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from llm.cases import frame
@@ -106,6 +107,21 @@ def test_calibration_draws_copies_apart(spark):
     assert 60 < copies < 150 and 200 < drawn.count() < 400
 
 
+def test_calibration_takes_every_row(spark):
+    """The limits are quantiles over all calibration rows, however many there are."""
+    rng = random.Random(4)
+    rows = [(i, " ".join("".join(rng.choice(["ba", "lo", "mi", "ta", "zu"]) for _ in range(3))
+                         for _ in range(rng.randrange(1, 9))), "ab"[i % 2] * 2) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    models = L.train(docs, F.col("doc_id") < 500, F.col("doc_id") >= 500)
+    e = {i: L._entropies(pa.record_batch({"text": [text]}), "text", models)[0][0]
+         for i, text, _ in rows if i >= 500}
+    low, best = np.array([x.min() for x in e.values()]), np.array([x.argmin() for x in e.values()])
+    overall = np.quantile(low, 0.999)
+    want = [max(overall, np.quantile(low[best == k], 0.999)) + 1.5 for k in range(2)]
+    assert np.allclose(models.limits, want, atol=1e-9)
+
+
 def test_counts_cover_all_rows(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("lang = 'fr'").select("text", "lang")
     got = L.count_trigrams(docs, "text", "lang").agg(F.sum("n")).first()[0]
