@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from shopgrain.session import materialise
+
 BUCKET_ROWS = 1 << 16
 
 
@@ -38,8 +40,9 @@ def as_of_carry(
     events = events.withColumn("day", F.to_date("t"))
 
     # The days of keys beyond one bucket: how many rows lie up to each, and the version before it.
-    large = events.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") > bucket_rows).select("k")
+    # Both are written, as their size, most often none, decides whether all events are shuffled.
+    large = materialise(events.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") > bucket_rows).select("k"), "large")
     rows = events.join(large, "k", "left_semi").groupBy("k", "day").agg(F.count(F.lit(1)).alias("n"))
     last = starts.withColumn("day", F.to_date("t")).join(large, "k", "left_semi").groupBy(
         "k", "day").agg(F.max_by("version", "t").alias("last"))
@@ -51,7 +54,7 @@ def as_of_carry(
         F.last("last", ignorenulls=True).over(by_day.rowsBetween(W.unboundedPreceding, -1))
         .alias("carried"))
     first_day = W.partitionBy("k", "bucket").orderBy("day")
-    days = days.withColumn("carried", F.first("carried").over(first_day))
+    days = materialise(days.withColumn("carried", F.first("carried").over(first_day)), "days")
 
     dealt = events.join(days, ["k", "day"], "left").withColumn(
         "bucket", F.coalesce("bucket", F.lit(0)))

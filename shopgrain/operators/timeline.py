@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from shopgrain.operators.merge import row_diff
+from shopgrain.session import materialise
 
 
 def distinct_events(events: DataFrame, key: str, attributes: list[str], at: str) -> DataFrame:
@@ -52,21 +53,24 @@ def splice(
 
     `late="reject"` turns away events that do not lie after all held events of their key; then the
     cut into feeds matters, and rejected events say so. Keys the feed does not touch are passed
-    through without a shuffle of their events.
+    through without a shuffle of their events. What several of the results take up is written once.
     """
     if late not in ("apply", "reject"):
         raise ValueError(f"late is apply or reject, not {late}")
     columns = [key, *attributes, at]
     feed = feed.select(*columns)
-    newest = held.groupBy(key).agg(F.max(at).alias("_newest"))
-    seen = feed.join(newest, key, "left")
-    is_late = F.coalesce(F.col(at) <= F.col("_newest"), F.lit(False))
-    rejected = seen.where(is_late if late == "reject" else F.lit(False)).select(*columns)
-    taken = (seen.where(~is_late) if late == "reject" else seen).select(*columns)
-    touched = taken.select(key).distinct()
+    if late == "reject":
+        newest = held.groupBy(key).agg(F.max(at).alias("_newest"))
+        seen = feed.join(newest, key, "left")
+        is_late = F.coalesce(F.col(at) <= F.col("_newest"), F.lit(False))
+        rejected, taken = (seen.where(c).select(*columns) for c in (is_late, ~is_late))
+    else:
+        rejected, taken = feed.limit(0), feed
+    touched = materialise(taken.select(key).distinct(), "touched")
     mine = held.join(touched, key, "left_semi")
-    merged = distinct_events(mine.select(*columns).unionByName(taken), key, attributes, at)
-    rebuilt = timeline(merged, key, attributes, at)
+    merged = materialise(distinct_events(
+        mine.select(*columns).unionByName(taken), key, attributes, at), "merged")
+    rebuilt = materialise(timeline(merged, key, attributes, at), "rebuilt")
     old = versions.join(touched, key, "left_semi")
     changed = row_diff(old.select(*rebuilt.columns), rebuilt).where("change > 0").drop("change")
     return Splice(

@@ -123,3 +123,24 @@ def test_only_orders_in_changed_versions_are_pointed_anew(spark):
     got = {r["order_id"]: r["city"] for r in repoint(
         facts, changed, "user_id", "order_date", {"city": "city"}).collect()}
     assert got == {k: "m" if 3 <= k < 6 else "n" if k == 9 else "old" for k in [*range(10), 20, 21]}
+
+
+def test_users_of_one_bucket_are_not_dealt_by_day(spark):
+    """The days of large users are known before the plan: without any, events are shuffled once."""
+    rng = random.Random(3)
+    orders = [(k, k % 5, START + timedelta(minutes=rng.randrange(80000))) for k in range(300)]
+    facts = spark.createDataFrame(orders, FACTS)
+    versions = spark.createDataFrame(history(rng, 5, 9, 60), VERSIONS)
+    text = plan(as_of_carry(facts, versions, "user_id", "order_date"))
+    assert text.count("Arguments: hashpartitioning") == 1
+
+
+def test_a_splice_is_worked_out_once(spark):
+    held = spark.createDataFrame([(1, "a", START), (2, "x", START)], EVENTS)
+    feed = spark.createDataFrame([(1, "b", START + timedelta(days=3)), (None, "n", START)], EVENTS)
+    versions = timeline(held, "user_id", ["city"], "at")
+    step = splice(held, spark.createDataFrame(versions.collect(), versions.schema), feed,
+                  "user_id", ["city"], "at")
+    for df in (step.events, step.versions, step.changed):
+        assert "Window" not in plan(df)
+    assert (None, "n", START, None, True) in state(step.versions) and step.rejected.count() == 0
