@@ -130,3 +130,18 @@ def test_shuffles_grow_with_the_tables(spark, tmp_path):
     finally:
         for n, v in zip(names, held):
             spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_a_task_takes_in_little(spark, tmp_path):
+    """A shuffled megabyte is some forty of memory in the grouping of lines by order and product."""
+    from shopgrain.session import size_shuffles
+
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    held = [spark.conf.get(n, None) for n in names]
+    try:
+        size_shuffles(spark, str(tmp_path))
+        assert int(spark.conf.get(names[1])) <= 4 << 20
+    finally:
+        for n, v in zip(names, held):
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
