@@ -289,7 +289,8 @@ def moving_avg_7_bucketed(
 ) -> DataFrame:
     """`moving_avg_7` with a product's days parted into buckets, so that one product spans tasks."""
     bucket = F.floor(F.unix_date("sale_date") / bucket_days)
-    daily = with_halo(_daily_sales(order_items, orders), ["product_id"], "sale_date", bucket, 6)
+    sales = materialise(_daily_sales(order_items, orders), "daily")  # read for rows and for halos
+    daily = with_halo(sales, ["product_id"], "sale_date", bucket, 6)
     seven_rows = W.partitionBy("product_id", "_bucket").orderBy("sale_date").rowsBetween(-6, 0)
     return _moving_average(daily, products, seven_rows, "_halo").where("NOT _halo").drop("_halo")
 

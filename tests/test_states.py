@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from conftest import rows
+from conftest import plan, rows
 from shopgrain.operators import bitmaps
 from shopgrain.operators.halo import with_halo
 from shopgrain.plans import questions as q
@@ -57,3 +57,23 @@ def test_frames_over_buckets_equal_frames_over_keys(spark, days):
     assert sizes is None or sizes <= 6
     if days == 20:
         assert buckets.where("k = 1").select("_bucket").distinct().count() > 10
+
+
+def test_keys_of_few_rows_have_no_halo(spark):
+    """Halos of sparse keys would outweigh their rows; NULL keys count as a key."""
+    start = date(2024, 1, 1)
+    data = [(k, start + timedelta(days=30 * d), d) for k in (1, 2, None) for d in range(20)]
+    data += [(k, start + timedelta(days=d), d) for k in (3, None) for d in range(200)]
+    df = spark.createDataFrame(data, "k INT, day DATE, v INT")
+    buckets = with_halo(df, ["k"], "day", F.floor(F.unix_date("day") / 30), 6)
+    assert {r["k"] for r in buckets.where("_halo").select("k").distinct().collect()} == {3, None}
+    assert buckets.where("NOT _halo").count() == len(data)
+    assert buckets.where("k IS NULL").select("_bucket").distinct().count() > 10
+
+
+def test_daily_sales_are_made_once(spark, shop):
+    """Rows and halos read what has been written, and not the lines and orders again."""
+    text = plan(q.moving_avg_7_bucketed(shop.order_items, shop.orders, shop.products))
+    assert "lineitem.parquet" not in text and "orders.parquet" not in text
+    assert rows(q.moving_avg_7_bucketed(shop.order_items, shop.orders, shop.products)) == rows(
+        q.moving_avg_7(shop.order_items, shop.orders, shop.products))
