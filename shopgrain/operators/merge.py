@@ -95,11 +95,20 @@ def row_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def fingerprints(df: DataFrame, by: str) -> DataFrame:
-    """Per value of `by` the row count and two sums of row hashes, equal for equal bags of rows."""
-    def total(seed: int):
-        return F.sum(F.xxhash64(F.lit(seed), *df.columns).cast("decimal(20,0)"))
+    """Per value of `by` the row count and two sums of row hashes, equal for equal bags of rows.
 
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), total(1).alias("one"), total(2).alias("two"))
+    A hash is summed in its upper 32 bits and in two lower parts of 16, as whole numbers: exact for
+    2^32 rows of one value, and far cheaper than decimals that hold the sum of 64 bits.
+    """
+    hashes = {name: F.xxhash64(F.lit(seed), *df.columns) for name, seed in (("one", 1), ("two", 2))}
+
+    def total(name: str):
+        c = F.col(f"_{name}")
+        parts = (F.shiftright(c, 32), F.shiftright(c, 16).bitwiseAND(0xFFFF), c.bitwiseAND(0xFFFF))
+        return F.struct(*[F.sum(part).alias(f"p{k}") for k, part in enumerate(parts)]).alias(name)
+
+    return df.select(by, *[c.alias(f"_{name}") for name, c in hashes.items()]).groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), total("one"), total("two"))
 
 
 def row_diff_by(before: DataFrame, after: DataFrame, by: str) -> DataFrame:

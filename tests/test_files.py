@@ -139,3 +139,12 @@ def test_defaults_of_a_load(spark):
     assert {r["created_at"] for r in tables.with_defaults(held, "users", "2024-01-01").collect()} == {None}
     with pytest.raises(ValueError, match="users needs a column email"):
         tables.with_defaults(users.drop("email"), "users", "2024-01-01")
+
+
+def test_fingerprints_sum_whole_numbers(spark):
+    """Decimals that hold the sum of 64-bit hashes cost more than the hashes."""
+    sums = fingerprints(days(spark, range(1, 41)).unionByName(days(spark, range(1, 3))), "day")
+    assert "decimal" not in plan(sums).lower()
+    hashes = {r.day: r for r in sums.collect()}
+    assert (hashes[1].n, hashes[3].n) == (40, 20) and 0 <= hashes[1].one.p1 < 40 << 16
+    assert len({r.one for r in hashes.values()} | {r.two for r in hashes.values()}) == 80

@@ -5,7 +5,7 @@ from datetime import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from shopgrain.operators.joins import as_of_join
 from shopgrain.operators.merge import row_diff
 from shopgrain.plans import audits, star as s
@@ -197,3 +197,44 @@ def test_history_is_split_at_the_move(star):
              for r in s.scd2_history_check(star["fct_orders"], star["dim_customer"]).collect()}
     assert found[0, False].last_date_id < 19980601 <= found[1, True].first_date_id
     assert all(r.misplaced == 0 for r in found.values())
+
+
+def test_the_last_join_of_a_fact_runs_once(spark, shop, tmp_path):
+    """Bounds of files come from the keys: drawn from the rows, they have the merge run twice."""
+    ranged = []
+
+    class Watched(VersionedTables):
+        def write(self, name, df, partition_by=None):
+            if name.startswith("fct_"):
+                ranged.append("rangepartitioning" in plan(df))
+            return super().write(name, df, partition_by)
+
+    watched = Watched(spark, str(tmp_path), STAR_DDL)
+    s.load_star(shop, watched)
+    s.load_star(shop, watched)
+    assert ranged == [False] * 4
+    assert watched.read("fct_orders").count() == shop.orders.count()
+
+
+def test_rows_are_dealt_by_the_ranges_of_their_keys(spark):
+    from shopgrain.operators.ranges import cut_by_range, range_starts
+
+    held = [(20240101 + i % 3, i, f"r{i}") for i in range(-200, 400)]  # a busy day spans ranges
+    held += [(20240102, None, "no number"), (20250101, 5, "other day"), (None, 7, "no day")]
+    df = spark.createDataFrame(held * 2, "day INT, at BIGINT, what STRING").repartition(4)
+    n = 8
+    starts = range_starts(df.where("at % 2 = 0"), "day", "at", n)
+    assert 3 < len(starts) <= n
+    cut = cut_by_range(df, starts, [20240101, 20240102, 20240103, 20250101], "day", "at", n)
+    assert cut.rdd.getNumPartitions() == n and cut.columns == df.columns
+    assert rows(cut) == rows(df)
+    parts = [p for p in cut.rdd.glom().collect() if p]
+    assert len(parts) > 3
+    for p in parts:
+        keys = [(r.day, r.at) for r in p if r.day is not None and r.at is not None]
+        assert keys == sorted(keys)
+    spans = [(min(k), max(k)) for p in parts for k in [[
+        (r.day, r.at) for r in p if r.day is not None and r.at is not None]]]
+    assert all(one[1] < two[0] for one, two in zip(spans, spans[1:]))
+    none = df.where("false")
+    assert range_starts(none, "day", "at", n) == [] and cut_by_range(none, [], [], "day", "at", 1).count() == 0
