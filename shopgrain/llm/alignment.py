@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopgrain.llm.bpe import Encoder, Tables
+from shopgrain.llm.bpe import KNOWN_WORDS, Encoder, Ids, Tables
 from shopgrain.llm.frames import limit_batches, slices
 from shopgrain.session import materialise
 
@@ -53,25 +54,39 @@ class Pieces(Encoder):
                        n.replace(SPACE, " ").encode() for i, n in enumerate(names)]
         probe = "a  b \t　 \xa0c\n d "
         kept = "".join(self.model.encode(probe, out_type=str)).replace(SPACE, " ")
-        whole = any(SPACE in n.lstrip(SPACE) for n in names) or not kept.startswith(" a  b ")
-        self.findall = (lambda text: [text]) if whole else re.compile(" *[^ ]+| +").findall
+        self.whole = any(SPACE in n.lstrip(SPACE) for n in names) or not kept.startswith(" a  b ")
+        self.findall = (lambda text: [text]) if self.whole else re.compile(" *[^ ]+| +").findall
         self.tables, self.marks = replace(EMPTY), None
         self.forget()
 
     def _learn(self, words: list[str]) -> None:
+        self._store(words, *self.ids_of(words))
+
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that begin with a space in a row, and how many each has."""
         # A word has the leading space that the model adds; that of a lone space is the word itself.
         found = [[self.model.piece_to_id(SPACE)] if w == " " else ids for w, ids in zip(
             words, self.model.encode([w[1:] for w in words], num_threads=1), strict=True)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self._store(words, np.fromiter((i for ids in found for i in ids), np.int64, sizes.sum()), sizes)
+        return np.fromiter(chain.from_iterable(found), np.int64, sizes.sum()), sizes
 
 
 _NONE = np.empty(0, np.int64)
 EMPTY = Tables(_NONE, _NONE, _NONE, _NONE, [])
 
 
-class Pair:
-    """Both tokenizers of a worker, with the bytes of their tokens."""
+# A text's words for both sides: neither has a token over a space that follows other than white
+# space. Where white space of other kinds comes before a space, A's split depends on what follows.
+_BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WORD_PATTERN = f" *[^ ]+(?:(?<=[{_BLANK}]) +[^ ]*)*| +"
+
+
+class Pair(Encoder):
+    """Both tokenizers of a worker, with the bytes of their tokens.
+
+    A text is cut once into words that both encode apart, and remembered are the ids of both sides,
+    and whether these give the bytes of the word back.
+    """
 
     def __init__(self, tables: Tables, model: bytes):
         self.one, self.two = Encoder(replace(tables, special={})), Pieces(model)
@@ -81,17 +96,67 @@ class Pair:
         # Ids as text, followed by what follows in a group or after it.
         self.names = [np.array([f"{i}{mark}" for mark in marks for i in range(n)], object)
                       for n, marks in zip(self.sizes, (",|", ",;"), strict=True)]
+        self.findall = self.two.findall if self.two.whole else re.compile(WORD_PATTERN).findall
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.held, self.exact = {}, (Ids(), Ids()), np.empty(0, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        # One after the other, words are cut as they are apart, unless white space ends them.
+        parts: list[list[str]] = [[], [], []]
+        for w in words:
+            parts[2 if w[-1].isspace() else not w.isascii()].append(w)
+        words = [*chain.from_iterable(parts)]
+        pieces = [*chain.from_iterable(map(self.one.findall, [*map("".join, parts[:2]), *parts[2]]))]
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        n = np.searchsorted(np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), ends) + 1
+        if len(self.one.known) > KNOWN_WORDS:
+            self.one.forget()
+        ids, cut = self.one.held.gather(self.one.places(pieces))
+        coded = [(ids, np.diff(cut[np.append(0, n)])), self.two.ids_of(words)]
+        raw = [w.encode() for w in words]
+        whole, lengths = b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw))
+        exact = np.ones(len(words), bool)
+        for side, (ids, sizes) in enumerate(coded):
+            self.held[side].add(ids, sizes)
+            cut = np.append(0, np.cumsum(sizes))
+            exact &= _per_text(self.lengths[side][ids], cut) == lengths
+            if not exact.all() or self.joined(side, ids) != whole:
+                exact &= [self.joined(side, ids[a:b]) == r
+                          for a, b, r in zip(cut[:-1], cut[1:], raw, strict=True)]
+        first = len(self.known)
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        self.exact = np.concatenate([self.exact, exact])
+
+    def joined(self, side: int, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes[side].__getitem__, ids.tolist()))
+
+    def encode_both(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of A and of B of all texts in a row, and the bounds of each text's on both sides.
+
+        A text has none where either's bytes are not the text's.
+        """
+        if len(self.known) > KNOWN_WORDS:
+            self.forget()
+        spaced = [" " + t if t else "" for t in texts]
+        found = [self.findall(t) for t in spaced]
+        ends = np.concatenate([[0], np.cumsum(list(map(len, found)))]).astype(np.int64)
+        places = self.places(list(chain.from_iterable(found)))
+        odd = np.flatnonzero(_per_text(~self.exact[places], ends)).tolist()
+        kept = np.ones(len(places), bool)
+        for k in odd:  # words may make up for each other
+            some, raw = places[ends[k]:ends[k + 1]], spaced[k].encode()
+            kept[ends[k]:ends[k + 1]] = all(
+                self.joined(side, held.gather(some)[0]) == raw for side, held in enumerate(self.held))
+        places, ends = places[kept], np.concatenate([[0], np.cumsum(kept)])[ends]
+        flat, totals = zip(*(held.gather(places) for held in self.held), strict=True)
+        return [x.astype(np.int64) for x in flat], [total[ends] for total in totals]
 
-    def encode(self, texts: list[str | None]) -> list[list[np.ndarray]]:
-        """The ids of A and of B for each text; none where either's bytes are not the text's."""
-        spaced = [" " + t if t else None for t in texts]
-        found = [self.one.encode(spaced), self.two.encode(spaced)]
-        for k, text in enumerate(spaced):
-            raw = text.encode() if text else b""
-            if not all(b"".join(map(pieces.__getitem__, ids[k].tolist())) == raw
-                       for pieces, ids in zip(self.bytes, found, strict=True)):
-                found[0][k] = found[1][k] = _NONE
-        return found
+
+def _per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(values)])
+    return total[bounds[1:]] - total[bounds[:-1]]
 
 
 def lane_starts(x: np.ndarray, y: np.ndarray, lane: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,11 +224,6 @@ def links(x: np.ndarray, y: np.ndarray, cut_x: np.ndarray, cut_y: np.ndarray) ->
     return np.cumsum(of_x) - of_x, np.cumsum(of_y) - of_y
 
 
-def _per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(values)])
-    return total[bounds[1:]] - total[bounds[:-1]]
-
-
 def group_texts(pair: Pair, flat: list[np.ndarray], cuts: list[np.ndarray],
                 bounds: list[np.ndarray]) -> list[str]:
     """`a1,a2|b1;a3|b2,b3` for each text: the ids of A and of B by group."""
@@ -189,9 +249,7 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
 
 def align_texts(pair: Pair, texts: list[str | None]) -> dict[str, list]:
     """n_a, n_b, n_groups, n_links, groups, and the linked id pairs of each text with their counts."""
-    ids = pair.encode(texts)
-    flat = [np.concatenate([*x, _NONE]).astype(np.int64) for x in ids]
-    bounds = [np.concatenate([[0], np.cumsum([len(t) for t in x])]).astype(np.int64) for x in ids]
+    flat, bounds = pair.encode_both(texts)
     ends = [np.cumsum(n[f]) for n, f in zip(pair.lengths, flat, strict=True)]
     cuts = list(align_ends(*ends))
     n_a, n_b = (np.diff(b) for b in bounds)

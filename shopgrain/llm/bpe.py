@@ -16,6 +16,7 @@ import heapq
 import json
 import re
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -171,6 +172,36 @@ def merge_long(word: bytes, tables: Tables) -> np.ndarray:
     return np.array([x for x in ids if x >= 0], np.int32)
 
 
+class Ids:
+    """The ids of many words in a row, found by the place of a word among them."""
+
+    def __init__(self):
+        self.flat = np.empty(1 << 16, np.uint32)
+        self.used = self.n = 0
+        self.starts = np.empty(1 << 14, np.int64)
+        self.sizes = np.empty(1 << 14, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, first, end = len(ids), self.n, self.n + len(sizes)
+        while self.used + n > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while end > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.empty_like(self.sizes)])
+        self.flat[self.used:self.used + n] = ids
+        self.starts[first:end] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:end] = sizes
+        self.used += n
+        self.n = end
+
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places in a row, and the bounds of each word's."""
+        sizes = self.sizes[places]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        move = np.repeat(self.starts[places] - total[:-1], sizes)
+        return self.flat[move + np.arange(total[-1])], total
+
+
 class Encoder:
     """Encodes texts, and remembers the words it has met."""
 
@@ -191,23 +222,12 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.used = 0
-        self.starts = np.empty(1 << 14, np.int64)
-        self.sizes = np.empty(1 << 14, np.int64)
+        self.held = Ids()
 
     def _store(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n, first = len(ids), len(self.known)
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while first + len(words) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
-            self.sizes = np.concatenate([self.sizes, np.empty_like(self.sizes)])
-        self.flat[self.used:self.used + n] = ids
-        self.starts[first:first + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[first:first + len(words)] = sizes
+        first = len(self.known)
         self.known.update(zip(words, range(first, first + len(words)), strict=True))
-        self.used += n
+        self.held.add(ids, sizes)
 
     def _learn(self, words: list[str]) -> None:
         pairs = sorted([(len(b), w, b) for w in words for b in (w.encode(),)])
@@ -221,6 +241,11 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; a missing text has none."""
+        ids, cut = self.encode_flat(texts)
+        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+    def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the bounds of each text's."""
         if len(self.known) > KNOWN_WORDS:
             self.forget()
         words: list[str] = []
@@ -236,20 +261,19 @@ class Encoder:
                     words += self.findall(piece)
             ends[k + 1] = len(words)
         if not words:
-            return [np.empty(0, np.uint32) for _ in texts]
-        found = list(map(self.known.get, words))
-        if None in found:
-            missing = [i for i, x in enumerate(found) if x is None]
-            self._learn(list({words[i] for i in missing}))
-            for i in missing:
-                found[i] = self.known[words[i]]
-        index = np.array(found, np.int64)
-        sizes = self.sizes[index]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        move = np.repeat(self.starts[index] - total[:-1], sizes)
-        ids = self.flat[move + np.arange(total[-1])]
-        cut = total[ends]
-        return [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            return np.empty(0, np.uint32), ends
+        ids, total = self.held.gather(self.places(words))
+        return ids, total[ends]
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Where each word's ids are held; words that are not known are learned."""
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            new = [words[i] for i in missing]
+            self._learn(list(set(new)))
+            found[missing] = [self.known[w] for w in new]
+        return found
 
 
 _encoders: dict[str, Encoder] = {}

@@ -135,3 +135,23 @@ def test_odd_columns(spark):
 def test_tables_give_bytes():
     tables = Tables.read(PATH_A)
     assert sorted(p[0] for p in tables.pieces if len(p) == 1) == list(range(256))
+
+
+def test_words_are_cut_once_for_both_sides(tokenizers):
+    with open(PATH_B, "rb") as f:
+        pair = A.Pair(Tables.read(PATH_A), f.read())
+    rng = random.Random(4)
+    texts = TEXTS + [None, "", "a \n  b", "c\n   ", "d\x85 \t e"] + [
+        "".join(rng.choice("ab  \n\t.é河1'\xa0▁　\x1c") for _ in range(rng.randrange(40))) for _ in range(500)]
+    asked = []
+    for side in (pair.one, pair.two):
+        side.findall = lambda text, cut=side.findall: asked.append(text) or cut(text)
+    for again in range(2):
+        flat, bounds = pair.encode_both(texts)
+        for k, text in enumerate(texts):
+            want = [[i for i, _ in side] for side in tokens(text, tokenizers)]
+            assert [x[b[k]:b[k + 1]].tolist() for x, b in zip(flat, bounds)] == want, text
+        # Known words are not cut again, by neither side.
+        assert again or asked
+        assert not again or not asked
+        asked.clear()
