@@ -21,12 +21,20 @@ def reject_duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     Counting over a window leaves df partitioned and sorted by key, which the merge join reuses;
     a grouping would add a map-side pass that cannot shrink rows with distinct keys.
     """
+    return reject_counted(count_copies(df, keys, "_copies"), keys, ["_copies"])
+
+
+def count_copies(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """df with a column that tells how many rows share the row's key."""
+    return df.withColumn(name, F.count(F.lit(1)).over(W.partitionBy(*keys)))
+
+
+def reject_counted(df: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
+    """df without the counts of `count_copies`, failing the job if one of them is above 1."""
     name = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
-    copies = F.count(F.lit(1)).over(W.partitionBy(*keys))
     failure = F.raise_error(F.concat(F.lit("duplicate upsert key: "), name))
-    counted = df.withColumn("_copies", copies)
-    return counted.where(F.when(F.col("_copies") > 1, failure.cast("boolean")).otherwise(True)) \
-        .drop("_copies")
+    several = reduce(lambda x, y: x | y, [F.col(c) > 1 for c in counts])
+    return df.where(F.when(several, failure.cast("boolean")).otherwise(True)).drop(*counts)
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -62,6 +70,41 @@ def upsert(
     return joined.select(*keys, *[merged(c) for c in rest]).select(*existing.columns)
 
 
+def held_apart(existing: DataFrame, incoming_keys: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Keys of existing that `replace_rows` must look at: absent in incoming, or held several times.
+
+    Stored with `_copies` and whether they are `_absent`; None if there are none, as after a repeated
+    load. Only keys are shuffled.
+    """
+    # Dealt by the first key alone, as incoming keys may be by then.
+    held = existing.select(*keys).repartition(keys[0]).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_copies"))
+    seen = incoming_keys.select(*keys).distinct().withColumn("_seen", F.lit(True))
+    apart = materialise(held.join(seen, keys, "left").select(
+        *keys, "_copies", F.col("_seen").isNull().alias("_absent")
+    ).where("_copies > 1 OR _absent"), "held_apart")
+    return None if apart.isEmpty() else apart
+
+
+def replace_rows(
+    existing: DataFrame, incoming: DataFrame, keys: list[str], apart: DataFrame | None,
+) -> DataFrame:
+    """`upsert` of all columns, by the keys that `held_apart` found.
+
+    Rows of existing are read only for keys that incoming lacks, so that a load that repeats most of
+    a large table does not shuffle it. incoming must be free of keys that occur twice.
+    """
+    rows = incoming.select(*existing.columns)
+    if apart is None:
+        return rows
+    copies = apart.where("NOT _absent").drop("_absent")
+    rows = rows.join(copies, keys, "left").withColumn(
+        "_copy", F.explode(F.array_repeat(F.lit(1), F.coalesce(F.col("_copies"), F.lit(1)).cast("int"))))
+    absent = apart.where("_absent").select(*[F.col(c).alias(f"_{c}") for c in keys])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    return rows.select(*existing.columns).unionByName(existing.join(absent, same, "left_semi"))
+
+
 def update_from(
     target: DataFrame, source: DataFrame, keys: list[str], columns: dict[str, str]
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RANGE_ROWS = 1 << 17  # rows of a range
@@ -48,18 +48,23 @@ def day_ranges(starts: list[tuple[int, int]], days: list[int]) -> list[tuple]:
 
 def cut_by_range(
     df: DataFrame, starts: list[tuple[int, int]], days: list[int], day: str, at: str, n: int,
+    derived: dict[str, Column] | None = None,
 ) -> DataFrame:
     """df in n partitions by ranges, each sorted by (day, at).
 
+    `derived` tells columns by the others of their row: they are not shuffled but made afterwards.
     `days` are the values of day that occur; a row of any other one goes to the first range, as does
     one without a day. Many ranges of one day are gone through for each of its rows.
     """
-    spark = df.sparkSession
+    spark, made = df.sparkSession, derived or {}
     kinds = pa.schema({"_day": pa.int64(), "_low": pa.int64(), "_high": pa.int64(), "_part": pa.int32()})
     ranges = spark.createDataFrame(pa.Table.from_pylist(
         [dict(zip(kinds.names, r, strict=True)) for r in day_ranges(starts, days)], kinds))
     number = F.coalesce(F.col(at), F.lit(LOWEST))
     inside = ((F.col(day) == F.col("_day")) & (number >= F.col("_low"))
               & (F.col("_high").isNull() | (number < F.col("_high"))))
-    placed = df.join(ranges, inside, "left").withColumn("_part", F.coalesce("_part", F.lit(0)))
-    return placed.repartitionById(n, "_part").sortWithinPartitions(day, at).select(*df.columns)
+    carried = [c for c in df.columns if c not in made]
+    placed = df.select(*carried).join(ranges, inside, "left").select(
+        *carried, F.coalesce("_part", F.lit(0)).alias("_part"))
+    return placed.repartitionById(n, "_part").sortWithinPartitions(day, at).select(
+        *[made[c].alias(c) if c in made else c for c in df.columns])

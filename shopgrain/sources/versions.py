@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+CODEC = "zstd"  # versions stay side by side, so they are packed tighter than Spark's default
+
 
 class VersionedTables:
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str] | None = None):
@@ -42,7 +44,7 @@ class VersionedTables:
     def write(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Store df as the next version. A failed attempt left no marker, so it is replaced."""
         path = self._path(name, self._newest(name) + 1)
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("compression", CODEC)
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)

@@ -2,7 +2,9 @@ import pytest
 from pyspark.errors import PySparkException
 
 from conftest import rows
-from shopgrain.operators.merge import insert_if_absent, row_diff, update_from, upsert
+from shopgrain.operators.merge import (
+    held_apart, insert_if_absent, replace_rows, row_diff, update_from, upsert,
+)
 
 DDL = "k INT, a STRING, b INT"
 
@@ -56,3 +58,17 @@ def test_update_from_leaves_unmatched_rows(spark, held):
 def test_row_diff_counts_copies(spark, held):
     doubled = held.unionByName(held.where("k = 2")).where("k <> 1")
     assert rows(row_diff(held, doubled)) == [(1, "x", 1, -1), (2, "y", 2, 1)]
+
+
+def test_replaced_rows_are_those_of_an_upsert(spark, held, incoming):
+    held = held.unionByName(held.where("k = 3")).unionByName(
+        spark.createDataFrame([(None, "no key", 5), (2, "again", 6)], DDL))
+    incoming = incoming.unionByName(spark.createDataFrame([(None, "new without", 7)], DDL))
+    apart = held_apart(held, incoming, ["k"])
+    assert rows(apart) == [(None, 1, True), (2, 2, True), (3, 2, False)]
+    assert rows(replace_rows(held, incoming, ["k"], apart)) == rows(upsert(held, incoming, ["k"]))
+
+
+def test_a_repeated_load_holds_nothing_apart(held):
+    assert held_apart(held, held, ["k"]) is None
+    assert rows(replace_rows(held, held, ["k"], None)) == rows(held)

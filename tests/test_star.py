@@ -3,6 +3,7 @@
 from datetime import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
@@ -238,3 +239,60 @@ def test_rows_are_dealt_by_the_ranges_of_their_keys(spark):
     assert all(one[1] < two[0] for one, two in zip(spans, spans[1:]))
     none = df.where("false")
     assert range_starts(none, "day", "at", n) == [] and cut_by_range(none, [], [], "day", "at", 1).count() == 0
+
+
+def test_a_repeated_load_shuffles_no_held_rows(spark, shop, tmp_path):
+    """Of a fact that is there only keys are read for the merge, and shuffle files go step by step."""
+    plans, cleaned = [], []
+
+    class Watched(VersionedTables):
+        def write(self, name, df, partition_by=None):
+            if name.startswith("fct_"):
+                plans.append(f"{tmp_path}/{name}" in plan(df))
+            cleaned.append(spark.conf.get(s.CLEAN_UP))
+            return super().write(name, df, partition_by)
+
+    watched = Watched(spark, str(tmp_path), STAR_DDL)
+    before = spark.conf.get(s.CLEAN_UP)
+    s.load_star(shop, watched)
+    plans.clear()
+    s.load_star(shop, watched)
+    # Orders are read for their lines; neither fact is read to be merged with itself.
+    assert plans == [False, False] and set(cleaned) == {"true"}
+    assert spark.conf.get(s.CLEAN_UP) == before
+
+
+def test_a_load_keeps_rows_that_the_sources_lost(spark, shop, tmp_path):
+    tables = VersionedTables(spark, str(tmp_path), STAR_DDL)
+    s.load_star(shop, tables)
+    full = {name: tables.read(name) for name in s.STAR_TABLES}
+
+    class Less:
+        orders = shop.orders.where("order_id % 3 <> 0")
+        order_items = shop.order_items.where("order_id % 3 <> 0")
+
+        def __getattr__(self, name):
+            return getattr(shop, name)
+
+    s.load_star(Less(), tables)
+    for name in s.STAR_TABLES:
+        assert row_diff(full[name], tables.read(name)).count() == 0, name
+
+
+def test_lines_with_one_order_and_product_twice_fail(spark):
+    lines = spark.createDataFrame([(1, 7, 2, 1, 2), (1, 8, 1, 1, 1)],
+                                  "order_id BIGINT, product_id BIGINT, quantity INT, unit_price INT, subtotal INT")
+    lines = lines.withColumn("unit_price", F.col("unit_price").cast("decimal(10,2)")).withColumn(
+        "subtotal", F.col("subtotal").cast("decimal(12,2)"))
+    orders = spark.createDataFrame([(1, 20240101, 5, 202401), (1, 20240102, 5, 202401)],
+                                   "order_id BIGINT, order_date_id INT, customer_key BIGINT, order_month INT")
+    products = spark.createDataFrame([(7, 7, 1), (7, 7, 2)], "product_key BIGINT, product_id BIGINT, c INT")
+    products = products.select("product_key", "product_id", F.col("c").cast("decimal(10,2)").alias("unit_cost"))
+    assert s.fct_order_items(lines, orders, products).count() == 4
+    for some, known in ((orders, products.limit(1)), (orders.limit(1), products)):
+        with pytest.raises(PySparkException, match="duplicate upsert key: 1, 7"):
+            s.fct_order_items(lines, some, known, reject=True).collect()
+    once = s.fct_order_items(lines, orders.limit(1), products.limit(1), reject=True)
+    assert [r.order_item_key for r in once.collect()] == ["1-7"]
+    # A line of an unknown product is left out, twice or not.
+    assert s.fct_order_items(lines.where("product_id = 8"), orders, products, reject=True).count() == 0
