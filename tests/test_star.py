@@ -296,3 +296,22 @@ def test_lines_with_one_order_and_product_twice_fail(spark):
     assert [r.order_item_key for r in once.collect()] == ["1-7"]
     # A line of an unknown product is left out, twice or not.
     assert s.fct_order_items(lines.where("product_id = 8"), orders, products, reject=True).count() == 0
+
+
+def test_a_load_replaces_all_columns_or_some(spark, shop, tmp_path):
+    class Raised:
+        orders = shop.orders.withColumn("total_amount", (F.col("total_amount") + 1).cast("decimal(12,2)")) \
+            .withColumn("order_status", F.lit("changed"))
+
+        def __getattr__(self, name):
+            return getattr(shop, name)
+
+    for frozen, raised in ((None, 1), ({"fct_orders": ["order_status"]}, 0)):
+        tables = VersionedTables(spark, f"{tmp_path}/{raised}", STAR_DDL)
+        s.load_star(shop, tables)
+        before = tables.read("fct_orders")
+        s.load_star(Raised(), tables, update_cols=frozen)
+        old = before.select("order_key", "order_month", F.col("total_amount").alias("old"))
+        both = tables.read("fct_orders").join(old, ["order_key", "order_month"])
+        found = both.groupBy("order_status", (F.col("total_amount") - F.col("old")).cast("int").alias("by")).count()
+        assert rows(found) == [("changed", raised, shop.orders.count())]
